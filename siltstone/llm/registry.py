@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import decontaminate, exact_dedup, pii
+from siltstone.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, toxicity
 from siltstone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,15 +16,34 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op6_exact_dedup, op9_decontaminate)}
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality, op4_near_dedup, op6_exact_dedup, op8_toxicity, op9_decontaminate, op10_bpe)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
