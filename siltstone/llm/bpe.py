@@ -169,6 +169,6 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(encoded: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents, and more of their columns."""
+    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)

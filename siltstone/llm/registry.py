@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, toxicity
+from siltstone.llm import bpe, decontaminate, exact_dedup, html_extract, near_dedup, pii, quality, substring_dedup, toxicity
 from siltstone.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,18 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.pages_report(table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -43,7 +51,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality, op4_near_dedup, op6_exact_dedup, op8_toxicity, op9_decontaminate, op10_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_quality, op3_substring_dedup, op4_near_dedup, op5_html_extract, op6_exact_dedup, op8_toxicity, op9_decontaminate, op10_bpe)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
