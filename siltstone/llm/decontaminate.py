@@ -91,6 +91,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs without the documents that hold a window of an item."""
-    found = hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct()
+    found = hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct().hint("merge")
     same = docs["doc_id"].eqNullSafe(found["_doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_key"])
     return docs.join(found, same, "left_anti")

@@ -103,6 +103,7 @@ def exact_groups(docs: DataFrame, *, block_chars: int = BLOCK_CHARS, fingerprint
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """docs without the later copies: of equal texts the row with the smallest doc_id stays."""
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    """docs without the later copies: of equal texts the row with the smallest doc_id stays; rows with a null doc_id stay.
+    The join is a merge join at any size, so cost grows with the input alone."""
+    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).hint("merge")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
