@@ -1,4 +1,8 @@
 """Registered queries by name, and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from siltstone.plans import corpus, queue, training
+
+QUERIES = {**corpus.QUERIES, **training.QUERIES, **queue.QUERIES}
+ORACLE_SQL = {**corpus.ORACLE_SQL, **training.ORACLE_SQL, **queue.ORACLE_SQL}

@@ -1 +1 @@
-"""siltstone.functions"""
+"""Column functions: pure expressions that stay inside whole-stage code generation."""
