@@ -97,11 +97,12 @@ def rounded(c: Column, places: int) -> Column:
 
 
 def word_shingles(c: Column, k: int = 3) -> Column:
-    """Distinct runs of k words; all words as one if there are fewer."""
+    """Sorted distinct hashes of the runs of k words; of all words as one if there are fewer; empty without words."""
     # The words are bound as the element of a one-element array: a lambda would otherwise find them anew for each place.
+    # Words are taken one by one, as slice() copies its whole input there.
     def runs(w: Column) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1)))
-        return F.when(F.size(w) > 0, F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(w, i, k), " ")))).otherwise(F.array().cast("array<string>"))
+        at = F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0)))
+        return F.when(F.size(w) > 0, F.array_sort(F.array_distinct(F.transform(at, lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(k))))))).otherwise(F.array().cast("array<bigint>"))
 
     return F.transform(F.array(words(c)), runs)[0]
 

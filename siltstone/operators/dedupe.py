@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.engine import stored
 from siltstone.functions import text as T
 
 
@@ -12,12 +13,11 @@ def duplicate_links(rows: DataFrame, key: str, text: Column, buckets: list[str],
     """(duplicate, original): records of one bucket whose k-word shingle sets have a Jaccard similarity of least or more, the smaller key first.
 
     Records with equal sets are one class; its later members link to its first, and only first members are compared.
-    Shingles are ordered by hash; two sets that are similar enough share one of their first n - ceil(least * n) + 1.
+    The sets are written once, as several steps read them. Shingles are ordered by hash; two sets that are similar enough share one of their first n - ceil(least * n) + 1.
     Sizes bound the candidates, and whole sets confirm them.
     """
     sets = rows.select(F.col(key).alias("key"), *buckets, T.word_shingles(text, k).alias("set"))
-    sets = sets.where(F.size("set") > 0).withColumn("set", F.array_sort(F.transform("set", lambda s: F.xxhash64(s))))
-    sets = sets.withColumn("set_id", F.sha2(F.array_join(F.transform("set", lambda x: x.cast("string")), ","), 256))
+    sets = stored(sets, "shingles").where(F.size("set") > 0).withColumn("set_id", F.sha2(F.array_join(F.transform("set", lambda x: x.cast("string")), ","), 256))
     heads = sets.groupBy(*buckets, "set_id").agg(F.min("key").alias("head"), F.min_by("set", "key").alias("set"))
     same = sets.join(heads.drop("set"), [*buckets, "set_id"]).where(F.col("key") > F.col("head")).select(F.col("key").alias("duplicate"), F.col("head").alias("original"))
     n = F.size("set")

@@ -23,7 +23,7 @@ def gold(qa: DataFrame, negatives: DataFrame, ideas: DataFrame, docs: DataFrame,
     def part(rows: DataFrame, category: Column, question: Column, answer: Column, label: Column) -> DataFrame:
         return rows.select(category.alias("category"), F.col("id").alias("source_id"), question.alias("question"), answer.alias("reference_answer"), label.alias("closed_label"), F.try_element_at("doc_ids", F.lit(1)).alias("_doc"))
 
-    turn = lambda i: F.col("turns")[i]["content"]
+    turn = lambda i: F.get("turns", F.lit(i))["content"]
     kinds = F.when(F.col("answer_type") == "CLOSED", "closed_qa").otherwise("open_qa")
     problem = F.when(F.size("constraints") > 0, F.concat("problem", F.lit("\n\nConstraints: "), F.array_join("constraints", "; "))).otherwise(F.col("problem"))
     every = part(qa.where("status = 'accepted' AND answer_type IN ('OPEN', 'CLOSED')"), kinds, turn(0), turn(1), F.when(F.col("answer_type") == "CLOSED", F.col("closed_label")))
