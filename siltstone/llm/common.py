@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.engine import stored
+
+__all__ = ["ascii_lower", "shuffle_width", "stored", "table"]
+
 #: ASCII letters; ``lower`` alone would also fold letters beyond ASCII.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -16,29 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests, local mode)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    known = spark.sparkContext.getCheckpointDir()
-    if known:
-        return known
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siltstone-"))
-    return spark.sparkContext.getCheckpointDir()
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: this cuts the lineage, and a lost
-    executor costs a reread only. The folder goes when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/siltstone-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z alone. Texts of ASCII only take the engine's fast path."""
     plain = F.octet_length(text) == F.char_length(text)
