@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.labelled import SAMPLE_ROWS, drawn, held_out, training_labels
+from siltstone.llm.labelled import drawn, held_out, training_labels
 
 PARTS, PART, LEAST_SCORE = 3, 1, 0.7
-#: Features kept for fitting, documents of either label that must hold one, steps, step size and the L1 weight.
-MOST_FEATURES, LEAST_DOCUMENTS, STEPS, RATE, L1 = 4000, 4, 250, 0.1, 0.008
+#: Documents of each label in the sample, at most; features kept for fitting, documents of either label that must hold one, steps, step size and the L1 weight.
+SAMPLE_ROWS, MOST_FEATURES, LEAST_DOCUMENTS, STEPS, RATE, L1 = 2500, 4000, 4, 250, 0.1, 0.008
 BEGINNINGS = (3, 4, 5, 6, 7)
 BATCH_ROWS = 512
 
@@ -79,19 +79,37 @@ class Model:
         return float(-np.expm1(-(log_none + plain * rest)))
 
 
+def _bag(text: str) -> list[set[str]]:
+    return [{p for w in set(_WORD.findall(text[a:b].lower())) for p in _parts(w)} for a, b in sentences(text)]
+
+
+def _features(rows: list[tuple[int, str]]) -> list[str]:
+    """Features that many toxic documents have and few others, the most telling first. Documents are counted one by one,
+    and clean ones only for features that enough toxic ones have, so that no document's features stay in memory."""
+    toxic = Counter()
+    for v, t in rows:
+        if v:
+            toxic.update({p for w in set(_WORD.findall(t.lower())) for p in _parts(w)})
+    n1 = max(sum(v for v, _ in rows), 1)
+    n0 = max(len(rows) - n1, 1)
+    least = max(LEAST_DOCUMENTS, n1 // 200)
+    toxic = {f: c for f, c in toxic.items() if c >= least}
+    clean = Counter()
+    for v, t in rows:
+        if not v:
+            clean.update(toxic.keys() & {p for w in set(_WORD.findall(t.lower())) for p in _parts(w)})
+    gain = {f: c * np.log((c / n1) / ((clean[f] + 0.5) / n0)) for f, c in toxic.items() if c / n1 > 4 * (clean[f] + 1) / n0}
+    return sorted(gain, key=lambda f: (-gain[f], f))[:MOST_FEATURES]
+
+
 def _fit(rows: list[tuple[int, str]]) -> Model:
-    bags = [[{p for w in set(_WORD.findall(t[a:b].lower())) for p in _parts(w)} for a, b in sentences(t)] for _, t in rows]
     y = np.array([v for v, _ in rows])
-    seen = (Counter(), Counter())
-    for v, bag in zip(y, bags):
-        seen[int(v)].update(set().union(*bag) if bag else ())
     n1, n0 = max(int(y.sum()), 1), max(int((1 - y).sum()), 1)
-    gain = {f: c * np.log((c / n1) / ((seen[0][f] + 0.5) / n0)) for f, c in seen[1].items() if c >= max(LEAST_DOCUMENTS, n1 // 200) and c / n1 > 4 * (seen[0][f] + 1) / n0}
-    names = sorted(gain, key=lambda f: (-gain[f], f))[:MOST_FEATURES]
+    names = _features(rows)
     at = {f: i for i, f in enumerate(names)}
     doc, sent, feat, k = [], [], [], 0
-    for d, bag in enumerate(bags):
-        for s in bag:
+    for d, (_, text) in enumerate(rows):
+        for s in _bag(text):
             doc.append(d)
             for f in sorted(at[x] for x in s if x in at):
                 sent.append(k)
