@@ -2,8 +2,8 @@
 
 Each task recompresses the documents of a batch and names all their windows. Windows go, packed and sorted by
 name, to buckets of the name's leading bits; a bucket holds the least doc_id of each name and answers each
-document that has a later copy with the names of its repeated windows. Documents meet their answers in buckets
-of doc_id and drop the words that these windows cover. Within a batch a name is sent once, so a passage that
+document that has a later copy with the names of its repeated windows. Answers travel in one row for each bucket
+and each part of the documents; documents meet them there and drop the words that these windows cover. Within a batch a name is sent once, so a passage that
 many documents share costs its bucket one entry for each batch, not for each document.
 
 Names have 64 bits and a check of 8 more from a second hash must agree. Two different windows pass as equal with
@@ -118,13 +118,28 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], lis
         yield ids, texts
 
 
-def _answered(rows: pa.Table) -> pa.Table:
-    """(doc_id, names): of a bucket's windows those that a smaller doc_id has too. Answers from within a batch pass through."""
-    empty = {"doc_id": pa.array([], pa.int64()), "names": pa.array([], pa.binary())}
+def _part(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """Where a document's text and its answers meet."""
+    return (ids & (2**62 - 1)) % buckets
+
+
+def _dealt(ids: np.ndarray, names: list[bytes], buckets: int) -> pa.Table:
+    """One row for each part that has answers: the ids, the bytes of names of each, and the names, end to end."""
+    part, out = _part(ids, buckets), []
+    order = np.argsort(part, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
+        out.append((int(part[own[0]]), ids[own].tolist(), [len(names[i]) for i in own], b"".join(names[i] for i in own)))
+    parts, docs, sizes, raw = zip(*out) if out else ((), (), (), ())
+    return pa.table({"part": pa.array(parts, pa.int32()), "ids": pa.array(docs, pa.list_(pa.int64())), "sizes": pa.array(sizes, pa.list_(pa.int32())), "names": pa.array(raw, pa.binary())})
+
+
+def _answered(rows: pa.Table, buckets: int) -> pa.Table:
+    """(part, ids, sizes, names): of a bucket's windows those that a smaller doc_id has too. Answers from within a batch are only dealt."""
     if not rows.num_rows:
-        return pa.table(empty)
+        return _dealt(np.zeros(0, np.int64), [], buckets)
     if rows.column("kind")[0].as_py() == 1:
-        return pa.table({"doc_id": pa.array([x[0] for x in rows.column("ids").to_pylist()], pa.int64()), "names": rows.column("payload").combine_chunks()})
+        ids = np.array([x[0] for x in rows.column("ids").to_pylist()], np.int64)
+        return _dealt(ids, rows.column("payload").to_pylist(), buckets)
     name, check, doc = [], [], []
     for ids, raw in zip(rows.column("ids").to_pylist(), rows.column("payload")):
         n, c, d = _unpacked(raw.as_py())
@@ -150,7 +165,7 @@ def _answered(rows: pa.Table) -> pa.Table:
     name, doc = name[order], doc[order]
     ids, at = np.unique(doc, return_index=True)
     ends = np.append(at[1:], len(doc))
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "names": pa.array([_answers(name[a:b]) for a, b in zip(at, ends)], pa.binary())})
+    return _dealt(ids, [_answers(name[a:b]) for a, b in zip(at, ends)], buckets)
 
 
 def _stripped(text: str, gone: np.ndarray, window: int) -> tuple[int, int, str]:
@@ -182,10 +197,13 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _sent(batches, window, buckets)
 
+    def answer(rows: pa.Table) -> pa.Table:
+        return _answered(rows, buckets)
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            part = pa.compute.bit_wise_and(pa.compute.fill_null(batch.column(0), 0), 2**62 - 1).to_numpy(zero_copy_only=False) % buckets
+            part = _part(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False), buckets)
             rows = []
             for b in np.unique(part):
                 for at in range(0, len(own := np.flatnonzero(part == b)), BATCH_DOCUMENTS):
@@ -198,8 +216,11 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
 
     def strip(texts: pa.Table, answers: pa.Table) -> pa.Table:
         got: dict[int, list[bytes]] = {}
-        for i, raw in zip(answers.column("doc_id").to_pylist(), answers.column("names")):
-            got.setdefault(i, []).append(raw.as_py())
+        for ids, sizes, raw in zip(answers.column("ids").to_pylist(), answers.column("sizes").to_pylist(), answers.column("names").to_pylist()):
+            at = 0
+            for i, n in zip(ids, sizes):
+                got.setdefault(i, []).append(raw[at : at + n])
+                at += n
         out = []
         for raw in texts.column("texts"):
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(raw.as_py(), max_output_size=2**31)) as r:
@@ -210,8 +231,7 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
 
     sent = d.where("doc_id IS NOT NULL").mapInArrow(send, "kind int, bucket int, ids array<long>, payload binary")
-    answers = sent.groupBy("kind", "bucket").applyInArrow(_answered, "doc_id long, names binary")
-    answers = answers.withColumn("part", F.expr(f"cast(doc_id & {2**62 - 1} AS long) % {buckets}").cast("int"))
+    answers = sent.groupBy("kind", "bucket").applyInArrow(answer, "part int, ids array<long>, sizes array<int>, names binary")
     texts = d.mapInArrow(pack, "part int, texts binary")
     return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
 
