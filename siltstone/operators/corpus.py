@@ -49,7 +49,7 @@ def drop_garbled(rows: DataFrame, text: Column, most: float = 0.10) -> DataFrame
 def chunk(docs: DataFrame, target: int = 1500, overlap: int = 0) -> DataFrame:
     """(chunk_id, doc_id, order, tokens, overlap_prev_tokens, text): lines of a document gathered until target tokens.
 
-    A line stays whole. With overlap, a chunk begins with up to so many last tokens of the one before and a blank line.
+    Numbers in ids have two digits, or more from chunk 100 on. A line stays whole. With overlap, a chunk begins with up to so many last tokens of the one before and a blank line.
     One document's lines meet in one row only; nothing is shuffled.
     """
     lines = F.filter(F.split("text", "\n"), lambda x: ~T.blank(x))
@@ -67,7 +67,8 @@ def chunk(docs: DataFrame, target: int = 1500, overlap: int = 0) -> DataFrame:
     before = F.when(F.col("order") > 0, F.slice(last, F.greatest(F.size(last) - overlap + 1, F.lit(1)), overlap)).otherwise(none) if overlap else none
     cut = docs.select("doc_id", gathered.alias("all")).select("doc_id", "all", F.posexplode("all").alias("order", "body")).withColumn("tail", before)
     text = F.when(F.size("tail") > 0, F.concat(F.array_join("tail", " "), F.lit("\n\n"), F.col("body"))).otherwise(F.col("body"))
-    return cut.select(F.concat(F.col("doc_id").cast("string"), F.lit("#c"), F.lpad(F.col("order").cast("string"), 2, "0")).alias("chunk_id"), "doc_id", "order",
+    number = F.col("order").cast("string")
+    return cut.select(F.concat(F.col("doc_id").cast("string"), F.lit("#c"), F.lpad(number, F.greatest(F.lit(2), F.length(number)), F.lit("0"))).alias("chunk_id"), "doc_id", "order",
                       T.token_count(F.col("body")).alias("tokens"), F.size("tail").alias("overlap_prev_tokens"), text.alias("text"))
 
 

@@ -89,7 +89,7 @@ _LINES = r"""lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l)
 @query(f"WITH RECURSIVE {_LINES} SELECT doc_id || '#c' || lpad(ord::VARCHAR, greatest(2, 2), '0') AS chunk_id, doc_id, ord::INT AS chunk_order, tokens, md5(body) AS text_md5 FROM chunks WHERE ord < 100")
 def chunk_segments(spark, d):
     c = corpus.chunk(I.table(spark, d, "documents"), target=100)
-    return c.where("order < 100").select("chunk_id", "doc_id", F.col("order").alias("chunk_order"), "tokens", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return c.select("chunk_id", "doc_id", F.col("order").alias("chunk_order"), "tokens", F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 @query(f"WITH RECURSIVE {_LINES} SELECT doc_id, ord::INT AS chunk_order, md5(body) AS body_md5 FROM chunks")

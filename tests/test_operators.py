@@ -82,6 +82,15 @@ def test_chunks_overlap_by_last_tokens(spark):
     assert got == [("1#c00", "a b c", 0), ("1#c01", "b c\n\nd e\nf", 2)]
 
 
+def test_chunk_ids_stay_unique_past_the_hundredth(spark, tmp_path):
+    from siltstone.plans import corpus as plans
+
+    df = spark.createDataFrame([(1, "\n".join(f"w{i} " * 100 for i in range(130)))], "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r["chunk_id"] for r in plans.chunk_segments(spark, str(tmp_path)).orderBy("chunk_order").collect()]
+    assert got == [f"1#c{i:02d}" for i in range(130)]
+
+
 def test_images_link_by_name(spark):
     chunks = spark.createDataFrame([("c1", "d", ["fig/a.png", "b.png"]), ("c2", "d", ["none.png"]), ("c3", "e", ["a.png"])], "chunk_id string, doc_id string, images array<string>")
     files = spark.createDataFrame([("d", "image", "/s/a.png"), ("d", "pdf", "/s/b.png")], "doc_id string, kind string, path string")
