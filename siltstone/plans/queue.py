@@ -119,8 +119,7 @@ _CELL = "min(CASE WHEN value > 10 THEN (event_id % 5) || 'f' ELSE 'FAILED' END)
 
 @query("SELECT user_id, " + ", ".join(f"coalesce({_CELL.format(t)}, 'n/a') AS \"{t}\"" for t in ("view", "click", "error")) + " FROM events WHERE event_id % 20 = 0 GROUP BY user_id")
 def model_pivot(spark, d):
-    e = I.table(spark, d, "events").where("event_id % 20 = 0")
-    return reports.model_pivot(e, "user_id", "event_type", ["view", "click", "error"], F.when(F.col("value") > 10, F.concat((F.col("event_id") % 5).cast("string"), F.lit("f"))).otherwise("FAILED"))
+    return reports.model_pivot(I.table(spark, d, "events"), "user_id", "event_type", ["view", "click", "error"], F.when(F.col("value") > 10, F.concat((F.col("event_id") % 5).cast("string"), F.lit("f"))).otherwise("FAILED"))
 
 
 @query()

@@ -192,7 +192,7 @@ _EVIDENCE = "SELECT user_id % 97 AS k, CASE WHEN value > 5 THEN 'generated' ELSE
 
 @query(f"SELECT 'c' || k AS chunk_id, count(*) AS n FROM ({_EVIDENCE}) WHERE status = 'generated' AND event_type IN ('view', 'click') GROUP BY k HAVING count(*) >= 2")
 def enough_facts(spark, d):
-    rows = I.table(spark, d, "events").where("event_id % 50 = 0").select(F.array(F.concat(F.lit("c"), (F.col("user_id") % 97).cast("string"))).alias("chunk_ids"), F.when(F.col("value") > 5, "generated").otherwise("rejected").alias("status"), "event_type")
+    rows = I.table(spark, d, "events").select(F.array(F.concat(F.lit("c"), (F.col("user_id") % 97).cast("string"))).alias("chunk_ids"), F.when(F.col("value") > 5, "generated").otherwise("rejected").alias("status"), "event_type")
     return records.enough_evidence(rows.where("event_type = 'view'"), rows.where("event_type = 'click'"))
 
 

@@ -91,6 +91,15 @@ def test_chunk_ids_stay_unique_past_the_hundredth(spark, tmp_path):
     assert got == [f"1#c{i:02d}" for i in range(130)]
 
 
+def test_evidence_and_pivot_read_every_event(spark, tmp_path):
+    from siltstone.plans import queue, training
+
+    rows = [(1, 7, "view", 20.0), (2, 7, "click", 6.0), (3, 8, "view", 20.0), (4, 7, "error", 1.0), (20, 8, "view", 2.0)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    assert [tuple(r) for r in training.enough_facts(spark, str(tmp_path)).collect()] == [("c7", 2)]
+    assert {tuple(r) for r in queue.model_pivot(spark, str(tmp_path)).select("user_id", "view", "click", "error").collect()} == {(7, "1f", "FAILED", "FAILED"), (8, "3f", "n/a", "n/a")}
+
+
 def test_images_link_by_name(spark):
     chunks = spark.createDataFrame([("c1", "d", ["fig/a.png", "b.png"]), ("c2", "d", ["none.png"]), ("c3", "e", ["a.png"])], "chunk_id string, doc_id string, images array<string>")
     files = spark.createDataFrame([("d", "image", "/s/a.png"), ("d", "pdf", "/s/b.png")], "doc_id string, kind string, path string")
