@@ -54,8 +54,12 @@ def garble_ratio(c: Column, run: int = 4) -> Column:
 
 def overlap_ratio(statement: Column, source: Column) -> Column:
     """Share of the statement's distinct words that the source has; 0 for a statement without words."""
-    s = F.array_distinct(words(statement))
-    return F.when(F.size(s) > 0, F.size(F.array_intersect(s, words(source))).cast("double") / F.size(s)).otherwise(0.0)
+    return overlap_of(F.array_distinct(words(statement)), words(source))
+
+
+def overlap_of(s: Column, w: Column) -> Column:
+    """overlap_ratio of distinct words and the source's words."""
+    return F.when(F.size(s) > 0, F.size(F.array_intersect(s, w)).cast("double") / F.size(s)).otherwise(0.0)
 
 
 def grounded(statement: Column, source: Column, least: float = 0.6) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone import schemas as S
+from siltstone.engine import stored
 from siltstone.functions import text as T
 
 
@@ -134,9 +135,26 @@ def expand(rows: DataFrame, items: str, suffix: str, base: str) -> DataFrame:
 
 def check_grounding(rows: DataFrame, statement: Column, source: Column, least: float = 0.6) -> DataFrame:
     """Adds overlap, status (generated or rejected) and reject_reason."""
-    out = rows.withColumn("overlap", T.overlap_ratio(statement, source))
+    return _grounded(rows.withColumn("overlap", T.overlap_ratio(statement, source)), least)
+
+
+def _grounded(rows: DataFrame, least: float) -> DataFrame:
     good = F.col("overlap") >= least
-    return out.withColumn("status", F.when(good, "generated").otherwise("rejected")).withColumn("reject_reason", F.when(~good, "not_grounded"))
+    return rows.withColumn("status", F.when(good, "generated").otherwise("rejected")).withColumn("reject_reason", F.when(~good, "not_grounded"))
+
+
+def check_all_grounding(statements: DataFrame, statement: Column, sources: DataFrame, source: Column, keys: list[str], least: float = 0.6) -> DataFrame:
+    """(keys, overlap, status, reject_reason): each statement against each source, one row for each pair.
+
+    Of a source's words only those that some statement has are carried into the pairs. They are written once, as the
+    join would otherwise find them anew for each pair. The result has statements x sources rows, so its cost is that of the pairs.
+    """
+    s = statements.withColumn("_s", F.array_distinct(T.words(statement)))
+    known = F.broadcast(s.select(F.explode("_s").alias("_word")).agg(F.collect_set("_word").alias("_known")))
+    w = sources.withColumn("_w", F.array_distinct(T.words(source))).crossJoin(known).withColumn("_w", F.array_intersect("_w", "_known"))
+    w = stored(w.select(*(k for k in keys if k in sources.columns), "_w"), "source-words")
+    pairs = w.crossJoin(s.select(*(k for k in keys if k in statements.columns), "_s"))
+    return _grounded(pairs.select(*keys, T.overlap_of(F.col("_s"), F.col("_w")).alias("overlap")), least)
 
 
 #: Least score by dimension, for questions and for ideas (fixed values).

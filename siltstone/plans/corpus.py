@@ -112,9 +112,8 @@ def cpt_pack(spark, d):
 def grounding_check(spark, d):
     from siltstone.operators import records
 
-    s = I.table(spark, d, "benchmark").select("item_id", F.col("text").alias("statement"), (F.col("item_id") % 40).alias("k"))
-    rows = I.table(spark, d, "documents").select("doc_id", "text", (F.col("doc_id") % 40).alias("k")).join(s, "k")
-    return records.check_grounding(rows, F.col("statement"), F.col("text")).select("item_id", "doc_id", "overlap", "status", "reject_reason")
+    items, docs = I.table(spark, d, "benchmark").select("item_id", "text"), I.table(spark, d, "documents").select("doc_id", "text")
+    return records.check_all_grounding(items, F.col("text"), docs, F.col("text"), ["item_id", "doc_id"])
 
 
 _SETS = f"""w AS (SELECT doc_id, lang, source, {_WORDS.format('text')} AS w FROM documents WHERE n_chars <= 4000),

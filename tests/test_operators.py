@@ -44,6 +44,16 @@ def test_grounding(spark):
     assert one(spark, T.overlap_ratio(F.col("s"), F.col("c")), s="...", c="x") == 0.0
 
 
+def test_each_item_meets_each_document(spark, tmp_path):
+    from siltstone.plans import corpus as plans
+
+    spark.createDataFrame([(1, "the cell lost charge"), (2, "..."), (3, "lost")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, "nothing here"), (2, "The CELL lost some"), (41, "lost")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["item_id"], r["doc_id"]): (r["overlap"], r["status"], r["reject_reason"]) for r in plans.grounding_check(spark, str(tmp_path)).collect()}
+    want = {(1, 1): 0.0, (1, 2): 0.75, (1, 41): 0.25, (2, 1): 0.0, (2, 2): 0.0, (2, 41): 0.0, (3, 1): 0.0, (3, 2): 1.0, (3, 41): 1.0}
+    assert got == {k: (v, "generated", None) if v >= 0.6 else (v, "rejected", "not_grounded") for k, v in want.items()}
+
+
 def test_overlap_prefix_ends_at_the_first_blank_line(spark):
     assert one(spark, T.without_overlap(F.col("t"), F.col("n")), t="tail\n\nbody\n\nmore", n=3) == "body\n\nmore"
     assert one(spark, T.without_overlap(F.col("t"), F.col("n")), t="a\n\nb", n=0) == "a\n\nb"
