@@ -9,10 +9,9 @@ from siltstone.engine import stored
 from siltstone.functions import text as T
 
 
-def duplicate_links(rows: DataFrame, key: str, text: Column, buckets: list[str], least: float = 0.85, k: int = 3) -> DataFrame:
-    """(duplicate, original): records of one bucket whose k-word shingle sets have a Jaccard similarity of least or more, the smaller key first.
+def _links(rows: DataFrame, key: str, text: Column, buckets: list[str], least: float, k: int) -> tuple[DataFrame, DataFrame]:
+    """(duplicate, original) between the first members of classes, and from later members of a class to its first.
 
-    Records with equal sets are one class; its later members link to its first, and only first members are compared.
     The sets are written once, as several steps read them. Shingles are ordered by hash; two sets that are similar enough share one of their first n - ceil(least * n) + 1.
     Sizes bound the candidates, and whole sets confirm them.
     """
@@ -28,11 +27,26 @@ def duplicate_links(rows: DataFrame, key: str, text: Column, buckets: list[str],
     full = pairs.join(whole.select(F.col("key").alias("key_a"), F.col("set").alias("x")), "key_a").join(whole.select(F.col("key").alias("key_b"), F.col("set").alias("y")), "key_b")
     inter = F.size(F.array_intersect("x", "y"))
     good = inter >= F.lit(least) * (F.size("x") + F.size("y") - inter) - 1e-9
-    return full.where(good).select(F.col("key_b").alias("duplicate"), F.col("key_a").alias("original")).unionByName(same)
+    return full.where(good).select(F.col("key_b").alias("duplicate"), F.col("key_a").alias("original")), same
+
+
+def duplicate_links(rows: DataFrame, key: str, text: Column, buckets: list[str], least: float = 0.85, k: int = 3) -> DataFrame:
+    """(duplicate, original): records of one bucket whose k-word shingle sets have a Jaccard similarity of least or more, the smaller key first.
+
+    Records with equal sets are one class; its later members link to its first, and only first members are compared.
+    """
+    between, same = _links(rows, key, text, buckets, least, k)
+    return between.unionByName(same)
 
 
 def mark_duplicates(rows: DataFrame, key: str, text: Column, buckets: list[str], least: float = 0.85) -> DataFrame:
-    """Adds duplicate_of, the least key that a row is a duplicate of, and status, rejected for duplicates."""
-    first = duplicate_links(rows, key, text, buckets, least).groupBy("duplicate").agg(F.min("original").alias("duplicate_of"))
+    """Adds duplicate_of, the least key that a row is a duplicate of, and status, rejected for duplicates.
+
+    What the first of a class links to, its later members are duplicates of too, so they get the lesser of both. The
+    least links of first members are written once, as two steps read them."""
+    between, same = _links(rows, key, text, buckets, least, 3)
+    near = stored(between.groupBy("duplicate").agg(F.min("original").alias("duplicate_of")), "least-links")
+    copies = same.join(near.select(F.col("duplicate").alias("original"), "duplicate_of"), "original", "left").select("duplicate", F.least("original", "duplicate_of").alias("duplicate_of"))
+    first = near.unionByName(copies).groupBy("duplicate").agg(F.min("duplicate_of").alias("duplicate_of"))
     out = rows.join(first, rows[key] == first["duplicate"], "left").drop("duplicate")
     return out.withColumn("status", F.when(F.col("duplicate_of").isNotNull(), "rejected").otherwise("accepted"))

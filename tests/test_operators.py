@@ -155,6 +155,14 @@ def test_duplicates_within_buckets(spark):
     assert got == {1: (None, "accepted"), 2: (1, "rejected"), 3: (None, "accepted"), 4: (1, "rejected"), 5: (None, "accepted"), 6: (None, "accepted")}
 
 
+def test_copies_get_the_least_key_of_all_they_duplicate(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    x, y = base, base + " end"
+    for texts, want in (((x, y, y), [None, 1, 1]), ((y, x, x, y), [None, 1, 1, 1])):
+        df = spark.createDataFrame([(i + 1, t, "b") for i, t in enumerate(texts)], "id long, t string, b string")
+        assert [r["duplicate_of"] for r in dedupe.mark_duplicates(df, "id", F.col("t"), ["b"]).orderBy("id").collect()] == want
+
+
 def test_exports_guard_and_number(spark):
     docs = spark.createDataFrame([("d1", "train", "CC-BY-4.0", "t1", None, False), ("d2", None, "CC-BY-4.0", "t2", None, False), ("d3", "train", "CC-BY-NC-4.0", "t3", "10/x", False), ("d4", "eval", "CC0-1.0", "t4", None, True)], "doc_id string, split string, license string, title string, doi string, blacklisted boolean")
     chunks = spark.createDataFrame([("c1", "d1", "one"), ("c2", "d1", " \n"), ("c3", "d2", "two"), ("c4", "d3", "three"), ("c5", "d4", "four")], "chunk_id string, doc_id string, text string")
