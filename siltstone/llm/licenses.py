@@ -7,8 +7,6 @@ rules, the most specific first, are patterns over that string; sentences that a
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +58,21 @@ def rule_pattern(ids: str) -> str:
 
 
 def sentence_ids(text: Column) -> Column:
-    """One letter for each sentence of a text: of known ones the identifier, of others a full stop. Lines and .!?; followed by white space end sentences."""
-    lines = F.regexp_replace(text, r"([.!?;])[\x20\x09-\x0D]+", "$1\n")
-    plain = F.transform(F.split(lines, "\n"), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    known = F.create_map(*chain.from_iterable((F.lit(s), F.lit(k)) for k, s in SENTENCES.items()))
-    ids = F.array_join(F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.coalesce(F.try_element_at(known, s), F.lit("."))), "")
+    """One letter for each sentence of a text: of known ones the identifier, of others a full stop.
+
+    .!?; followed by white space end sentences. A line or a colon may: a known sentence begins and ends at any of
+    these, and line breaks (blank lines too) and colons within it are as spaces, so wrapped texts and lists give the
+    same. Of what is left, each line is a sentence; colons don't end those.
+    """
+    t = F.regexp_replace(F.translate(F.lower(text), "|#", "  "), r"[.!?;][\x20\x09-\x0D]+", "|")
+    t = F.regexp_replace(F.regexp_replace(t, r":(?=[\x20\x09-\x0D])", "#"), r"[^a-z0-9|#\n]+", " ")
+    for run, end in ((r"[ #\n]*\|[ #\n|]*", "|"), (r"[ #]*\n[ #\n]*", "\n"), (" ?#[ #]*", "#")):
+        t = F.regexp_replace(t, run, end)
+    t = F.concat(F.lit("|"), F.trim(t), F.lit("|"))
+    for k, s in sorted(SENTENCES.items(), key=lambda x: -len(x[1])):
+        t = F.regexp_replace(t, rf"(?<=[|#\n]){s.replace(' ', '[ #\\n]')}(?=[|#\n])", k)
+    plain = F.split(F.regexp_replace(t, "(?<=[A-Z])#|#(?=[A-Z])", "|"), r"[|\n]")
+    ids = F.array_join(F.transform(F.filter(plain, lambda s: F.translate(s, " #", "") != ""), lambda s: F.when(s.rlike("^[A-Z]$"), s).otherwise(".")), "")
     return F.when(text.rlike(f"(?i){ANCHORS}"), ids).otherwise("")
 
 

@@ -71,3 +71,61 @@ def test_each_known_sentence_has_an_anchor():
     import re
 
     assert all(re.search(licenses.ANCHORS, s) for s in licenses.SENTENCES.values())
+
+
+WRAPPED = {
+    "MIT": """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "Apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY.""",
+}
+
+
+def test_wrapped_licences_are_known(spark):
+    known = {"MIT": "HIJ", "BSD-3-Clause": "STUV", "Apache-2.0": "BCDEF", "GPL-3.0-or-later": "LMN"}
+    rows = [(i, sep.join(text.splitlines())) for i, (text, sep) in enumerate((t, s) for t in WRAPPED.values() for s in ("\n", "\r\n", " "))]
+    got = [(r["licenses"], r["known_ids"], r["n_matches"]) for r in licenses.license_report(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()]
+    assert got[::3] == got[1::3] == [(name, ids, 1) for name, ids in known.items()]
+    assert got[11] == ("GPL-3.0-or-later", "LMN", 1)
