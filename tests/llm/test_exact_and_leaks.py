@@ -129,3 +129,9 @@ def test_wrapped_licences_are_known(spark):
     got = [(r["licenses"], r["known_ids"], r["n_matches"]) for r in licenses.license_report(spark.createDataFrame(rows, SCHEMA)).orderBy("doc_id").collect()]
     assert got[::3] == got[1::3] == [(name, ids, 1) for name, ids in known.items()]
     assert got[11] == ("GPL-3.0-or-later", "LMN", 1)
+
+
+def test_rows_that_repeat_a_doc_id_go_by_their_text(spark):
+    rows = [(1, "a copy"), (2, "a  copy"), (2, "its own text"), (3, "twice"), (3, "twice"), (4, "twice"), (4, None), (None, "a copy")]
+    got = exact_dedup.drop_exact(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, "a copy"), (2, "its own text"), (3, "twice"), (3, "twice"), (4, None), (None, "a copy")], key=repr)
