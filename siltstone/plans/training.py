@@ -128,8 +128,7 @@ _GOLD = f"""{I.DOCS}, {I.QA}, {I.NEGATIVES}, {I.IDEAS}, every AS (
 
 def _gold(spark, d):
     docs = I.documents(spark, d)
-    targets = evaluate.TARGETS | {"closed_qa": 3, "ideation": 20}
-    return evaluate.gold(I.qa(spark, d), records.contradiction_negatives(I.claim_pairs(spark, d), docs), I.ideas(spark, d), docs, targets)
+    return evaluate.gold(I.qa(spark, d), records.contradiction_negatives(I.claim_pairs(spark, d), docs), I.ideas(spark, d), docs)
 
 
 @query(f"WITH {_GOLD} SELECT * FROM gold")

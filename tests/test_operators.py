@@ -110,6 +110,20 @@ def test_evidence_and_pivot_read_every_event(spark, tmp_path):
     assert {tuple(r) for r in queue.model_pivot(spark, str(tmp_path)).select("user_id", "view", "click", "error").collect()} == {(7, "1f", "FAILED", "FAILED"), (8, "3f", "n/a", "n/a")}
 
 
+def test_benchmark_takes_the_fixed_targets(spark, monkeypatch):
+    from siltstone.plans import training
+
+    d, seen = "/root/testdata/sf0.1", []
+    gold = evaluate.gold
+    monkeypatch.setattr(evaluate, "gold", lambda *a, **k: seen.append(a) or gold(*a, **k))
+    got = {r["category"]: r["n"] for r in training.gold_counts(spark, d).collect()}
+    qa, negatives, ideas, docs = seen[0][:4]
+    whole = {r["category"]: r["count"] for r in gold(qa, negatives, ideas, docs, dict.fromkeys(evaluate.TARGETS, 10**6)).groupBy("category").count().collect()}
+    assert got == {k: min(n, evaluate.TARGETS[k]) for k, n in whole.items()} and whole["closed_qa"] > 3
+    small = {r["category"]: r["count"] for r in gold(qa, negatives, ideas, docs, evaluate.TARGETS | {"closed_qa": 2}).groupBy("category").count().collect()}
+    assert small == got | {"closed_qa": 2}
+
+
 def test_images_link_by_name(spark):
     chunks = spark.createDataFrame([("c1", "d", ["fig/a.png", "b.png"]), ("c2", "d", ["none.png"]), ("c3", "e", ["a.png"])], "chunk_id string, doc_id string, images array<string>")
     files = spark.createDataFrame([("d", "image", "/s/a.png"), ("d", "pdf", "/s/b.png")], "doc_id string, kind string, path string")
