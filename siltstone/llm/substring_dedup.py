@@ -29,7 +29,7 @@ WINDOW = 13
 #: Documents of a batch, at most 256 so that a byte numbers them, and words, unless one document has more; bytes of text for a bucket.
 BATCH_DOCUMENTS, BATCH_WORDS, BUCKET_BYTES = 256, 400_000, 12_000_000
 
-_ANSWER = np.dtype([("a", "<u4"), ("b", "<u2")])  # the low 48 bits of a name: enough among one document's windows
+_ANSWER = np.dtype([("name", "<u8"), ("check", "u1")])  # all that windows are compared by
 
 
 def _windows(words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,17 +43,12 @@ def _windows(words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndar
     return name, check >> np.uint64(56), doc[start]
 
 
-def _answers(name: np.ndarray) -> bytes:
+def _answers(name: np.ndarray, check: np.ndarray) -> bytes:
     out = np.empty(len(name), _ANSWER)
-    out["a"], out["b"] = name & np.uint64(0xFFFFFFFF), (name >> np.uint64(32)) & np.uint64(0xFFFF)
+    out["name"], out["check"] = name, check
     return out.tobytes()
 
 
-def _low48(raw: bytes) -> np.ndarray:
-    got = np.frombuffer(raw, _ANSWER)
-    return got["a"].astype(np.uint64) | got["b"].astype(np.uint64) << np.uint64(32)
-
-
 def _packed(name: np.ndarray, check: np.ndarray, doc: np.ndarray) -> bytes:
     """Sorted names as byte planes of their differences, then checks and document numbers."""
     gaps = np.diff(name, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -86,7 +81,10 @@ def _sent(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Itera
                 kind.append(1)
                 bucket.append(int(ids[i]) % buckets)
                 own.append([int(ids[i])])
-                payload.append(_answers(np.unique(name[later & (at == i)])))
+                n, c = name[later & (at == i)], check[later & (at == i)]
+                first = np.ones(len(n), bool)
+                first[1:] = (n[1:] != n[:-1]) | (c[1:] != c[:-1])
+                payload.append(_answers(n[first], c[first]))
         name, check, at = name[fresh], check[fresh], at[fresh]
         part = ((name >> bits).astype(np.int64) * buckets) >> 20
         cuts = np.flatnonzero(np.diff(part)) + 1
@@ -160,20 +158,22 @@ def _answered(rows: pa.Table, buckets: int) -> pa.Table:
     fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
     owner = doc[np.maximum.accumulate(np.where(fresh, np.arange(len(name)), 0))]
     gone = doc > owner
-    name, doc = name[gone], doc[gone]
+    name, check, doc = name[gone], check[gone], doc[gone]
     order = np.argsort(doc, kind="stable")
-    name, doc = name[order], doc[order]
+    name, check, doc = name[order], check[order], doc[order]
     ids, at = np.unique(doc, return_index=True)
     ends = np.append(at[1:], len(doc))
-    return _dealt(ids, [_answers(name[a:b]) for a, b in zip(at, ends)], buckets)
+    return _dealt(ids, [_answers(name[a:b], check[a:b]) for a, b in zip(at, ends)], buckets)
 
 
 def _stripped(text: str, gone: np.ndarray, window: int) -> tuple[int, int, str]:
     words = split_words(text)
     covered = np.zeros(len(words) + 1, np.int64)
     if len(gone) and len(words) >= window:
-        name, _, _ = _windows([words], window)
-        start = np.flatnonzero(np.isin(name & np.uint64(2**48 - 1), gone))
+        name, check, _ = _windows([words], window)
+        known = np.unique(gone["name"])
+        code = lambda n, c: np.searchsorted(known, n).astype(np.int64) << 8 | c.astype(np.int64)
+        start = np.flatnonzero(np.isin(name, known) & np.isin(code(name, check), code(gone["name"], gone["check"])))
         np.add.at(covered, start, 1)
         np.add.at(covered, start + window, -1)
     keep = np.cumsum(covered)[:-1] == 0
@@ -226,7 +226,7 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
             with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(raw.as_py(), max_output_size=2**31)) as r:
                 for batch in r:
                     for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                        out.append((i, *_stripped(t, _low48(b"".join(got.get(i, []))), window)))
+                        out.append((i, *_stripped(t, np.frombuffer(b"".join(got.get(i, [])), _ANSWER), window)))
         ids, n, gone, kept = zip(*out) if out else ((), (), (), ())
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
 

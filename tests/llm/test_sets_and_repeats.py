@@ -79,3 +79,12 @@ def test_repeats_match_brute_force(spark):
     assert rows_of(substring_dedup.repeats_report(docs)) == sorted(brute.repeats(rows), key=repr)
     assert substring_dedup.repeats_report(spark.createDataFrame([], SCHEMA)).collect() == []
     assert substring_dedup.repeats_report(spark.createDataFrame([(None, w), (1, w)], SCHEMA)).agg(F.sum("n_removed")).first()[0] == 0
+
+
+def test_answers_hold_the_whole_name_and_check():
+    words = [b"w%d" % i for i in range(5)]
+    name, check, _ = substring_dedup._windows([words], 5)
+    text = b" ".join(words).decode()
+    for n, c, removed in ((name, check, 5), (name ^ np.uint64(1 << 60), check, 0), (name, check ^ 1, 0)):
+        gone = np.frombuffer(substring_dedup._answers(n, c), substring_dedup._ANSWER)
+        assert substring_dedup._stripped(text, gone, 5)[1] == removed
