@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none (tests, local mode)."""
+    """The folder all executors share. Where the session names none, a temporary one in local mode; on a cluster that is an
+    error, as each executor would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="siltstone-"))
     return spark.sparkContext.getCheckpointDir()
 

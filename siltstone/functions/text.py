@@ -17,7 +17,7 @@ def or_else(a: Column, b: Column) -> Column:
 
 
 def blank(c: Column) -> Column:
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return F.coalesce(~c.rlike(r"\S"), F.lit(True))
 
 
 def words(c: Column) -> Column:
@@ -31,7 +31,7 @@ def tokens(c: Column) -> Column:
 
 
 def token_count(c: Column) -> Column:
-    return F.size(tokens(c)).cast("long")
+    return F.regexp_count(c, F.lit(r"\S+")).cast("long")
 
 
 def hash32(c: Column) -> Column:
@@ -40,16 +40,10 @@ def hash32(c: Column) -> Column:
 
 
 def garble_ratio(c: Column, run: int = 4) -> Column:
-    """Share of tokens in runs of at least ``run`` single-character tokens. One pass keeps the length of the open run."""
-    zero = F.struct(F.lit(0).alias("open"), F.lit(0).alias("bad"))
-
-    def step(a: Column, w: Column) -> Column:
-        longer = a["open"] + 1
-        return F.when(F.char_length(w) != 1, F.struct(F.lit(0).alias("open"), a["bad"].alias("bad"))).otherwise(
-            F.struct(longer.alias("open"), (a["bad"] + F.when(longer == run, run).when(longer > run, 1).otherwise(0)).alias("bad")))
-
-    t = tokens(c)
-    return F.when(F.size(t) > 0, F.aggregate(t, zero, step, lambda a: a["bad"].cast("double")) / F.size(t)).otherwise(0.0)
+    """Share of tokens in runs of at least ``run`` single-character tokens. One pattern matches a whole run; 0 without tokens."""
+    runs = F.regexp_extract_all(c, F.lit(rf"(?<!\S)\S(?!\S)(?:\s++\S(?!\S)){{{run - 1},}}+"), F.lit(0))
+    n = token_count(c)
+    return F.when(n > 0, F.char_length(F.regexp_replace(F.array_join(runs, " "), r"\s+", "")).cast("double") / n).otherwise(0.0)
 
 
 def overlap_ratio(statement: Column, source: Column) -> Column:
