@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.plans import corpus, queue, training
+from siltstone.plans import contracts, corpus, files, queue, training
 
-QUERIES = {**corpus.QUERIES, **training.QUERIES, **queue.QUERIES}
-ORACLE_SQL = {**corpus.ORACLE_SQL, **training.ORACLE_SQL, **queue.ORACLE_SQL}
+QUERIES = {**corpus.QUERIES, **training.QUERIES, **queue.QUERIES, **contracts.QUERIES, **files.QUERIES}
+ORACLE_SQL = {**corpus.ORACLE_SQL, **training.ORACLE_SQL, **queue.ORACLE_SQL, **contracts.ORACLE_SQL, **files.ORACLE_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,8 +46,6 @@ def score_closed(rows: DataFrame, answer: str = "answer", label: str = "closed_l
 
 def answer_with(rows: DataFrame, question: str, fn: Callable[[list[str]], list[str]]) -> DataFrame:
     """Adds answer, from a function that gets a list of questions on an executor."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def ask(q: pd.Series) -> pd.Series:
         return pd.Series(fn(q.tolist()))

@@ -85,3 +85,13 @@ def without_restricted(rows: DataFrame, order: list[str], allow: tuple[str, ...]
     """Rows of allowed sources, numbered anew; old_index keeps the former number."""
     good = rows.where(T.license_verdict(F.col("source_license"), allow) == "ALLOWED").withColumnRenamed("row_index", "old_index")
     return numbered(good, order, "split")
+
+
+def manifest_without(manifest: DataFrame, restricted: DataFrame) -> DataFrame:
+    """(split, sources): an attribution manifest as one map from source key to (license, title, row_indexes) for each split, without restricted (source_key).
+
+    Meant for the manifest of one file, which its writer holds as one document; the rows themselves stay in ``attribution``."""
+    entry = F.struct("license", "title", "row_indexes")
+    maps = manifest.groupBy("split").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("source_key"), entry.alias("entry"))))).alias("sources"))
+    bad = restricted.agg(F.collect_set("source_key").alias("_bad"))
+    return maps.join(bad).select("split", F.map_filter("sources", lambda k, v: ~F.array_contains("_bad", k)).alias("sources"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,22 +29,27 @@ def ancestors(classes: DataFrame) -> DataFrame:
 
     The hierarchy is a recursive query; its depth is bounded by the engine's recursion limit, and a class has one parent.
     """
-    classes.createOrReplaceTempView("_siltstone_classes")
-    return classes.sparkSession.sql("""
+    view = f"_siltstone_classes_{uuid.uuid4().hex}"
+    classes.createOrReplaceTempView(view)
+    found = classes.sparkSession.sql(f"""
         WITH RECURSIVE up(id, depth, ancestor, path) AS (
-            SELECT id, 0, id, array(id) FROM _siltstone_classes
+            SELECT id, 0, id, array(id) FROM {view}
             UNION ALL
-            SELECT u.id, u.depth + 1, p.id, concat(u.path, array(p.id)) FROM up u JOIN _siltstone_classes c ON c.id = u.ancestor JOIN _siltstone_classes p ON p.id = c.parent_id
+            SELECT u.id, u.depth + 1, p.id, concat(u.path, array(p.id)) FROM up u JOIN {view} c ON c.id = u.ancestor JOIN {view} p ON p.id = c.parent_id
             WHERE NOT array_contains(u.path, p.id))
         SELECT id, depth, ancestor FROM up""")
+    classes.sparkSession.catalog.dropTempView(view)
+    return found
 
 
-def subtree(classes: DataFrame, label: str) -> DataFrame:
-    """(id) of classes below the labelled one, itself too, and all their ancestors."""
+def subtree(classes: DataFrame, *labels: str, pattern: str | None = None) -> DataFrame:
+    """(id) of classes below any of the labelled ones, those whose label matches the pattern, these themselves and all their ancestors."""
     up = ancestors(classes)
-    root = classes.where(F.col("label") == label).select(F.col("id").alias("ancestor"))
-    below = up.join(root, "ancestor", "left_semi").select("id").distinct()
-    return up.join(below, "id", "left_semi").select(F.col("ancestor").alias("id")).distinct()
+    root = classes.where(F.col("label").isin(*labels)).select(F.col("id").alias("ancestor"))
+    some = up.join(root, "ancestor", "left_semi").select("id")
+    if pattern is not None:
+        some = some.unionByName(classes.where(F.col("label").rlike(pattern)).select("id"))
+    return up.join(some.distinct(), "id", "left_semi").select(F.col("ancestor").alias("id")).distinct()
 
 
 def _name(c: Column) -> Column:
@@ -115,3 +122,30 @@ def classification_line(chain: Column) -> Column:
     more = F.coalesce(parent["definition"], parent["alt_label"])
     kinds = F.array_join(F.transform(chain, lambda c: T.spaced_name(_name(c))), " is a kind of ")
     return F.concat(F.lit("- "), T.spaced_name(F.coalesce(chain[0]["label"], chain[0]["id"])), F.lit(": "), kinds, F.coalesce(F.concat(F.lit(' - "'), more, F.lit('"')), F.lit("")))
+
+
+#: Headings of a report and what stands where a question names nothing (fixed values).
+CLASSES_HEADING, ANSWER_HEADING = "## Ontology Classification", "## Mechanism / Explanation"
+NO_CONTEXT = "No ontology context was found for this question - proceed with general domain knowledge."
+
+
+def classification_section(lines: Column) -> Column:
+    """The heading and the classification lines (array) of a question, or a note where there are none."""
+    body = F.when(F.coalesce(F.size(lines), F.lit(0)) > 0, F.array_join(lines, "\n")).otherwise(NO_CONTEXT)
+    return F.concat(F.lit(f"{CLASSES_HEADING}\n"), body)
+
+
+def context_blocks(chains: Column) -> Column:
+    """Context blocks of all classes of a question, a blank line between them; empty for none."""
+    return F.coalesce(F.array_join(F.transform(chains, context_block), "\n\n"), F.lit(""))
+
+
+def explanation_prompt(question: Column, blocks: Column) -> Column:
+    """What a model is asked: the context, or the note where there is none, and the question."""
+    known = F.concat(F.lit("Classes that the question names (they are settled; don't repeat them):\n"), blocks)
+    return F.concat(F.when(blocks != "", known).otherwise(NO_CONTEXT), F.lit("\n\nQuestion:\n"), question)
+
+
+def assembled_answer(section: Column, explanation: Column) -> Column:
+    """The report: the classification section, which no model writes, and the stripped explanation under its heading."""
+    return F.concat(section, F.lit(f"\n\n{ANSWER_HEADING}\n"), F.coalesce(T.strip(explanation), F.lit("")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,144 +18,200 @@ def json_part(text: Column) -> Column:
     return F.regexp_extract(text, r"(?s)\{.*\}", 0)
 
 
+Check = Callable[[Column, Column], Column]
+
+
 @dataclass(frozen=True)
-class Contract:
-    """What a structured reply must be. ddl: its columns. filled: strings that must not be blank. words: allowed values
-    (None among them if absent is allowed). scores: integers from 1 to 5. rules: further (message, SQL predicate)."""
+class Field:
+    """A field of a reply. ddl: how it is read from JSON. good: whether its value, and whether its key is there at all,
+    will do. clean: the value that is kept. inner: the contract of the object, or of each object of a list (many)."""
 
+    name: str
     ddl: str
-    filled: tuple[str, ...] = ()
-    words: dict[str, tuple[str | None, ...]] = field(default_factory=dict)
-    scores: tuple[str, ...] = ()
-    rules: tuple[tuple[str, str], ...] = ()
-
-    @property
-    def names(self) -> list[str]:
-        return [part.strip().split(" ")[0].strip("`") for part in _top_level(self.ddl)]
-
-
-def _top_level(ddl: str) -> list[str]:
-    out, depth, start = [], 0, 0
-    for i, c in enumerate(ddl):
-        depth += (c in "<(") - (c in ">)")
-        if c == "," and depth == 0:
-            out.append(ddl[start:i])
-            start = i + 1
-    return [*out, ddl[start:]]
-
-
-_COMPONENT = (None, *S.COMPONENTS)
-_MATERIAL = "struct<name:string,formula:string,class:string,component:string>"
-_FACT = f"struct<material:{_MATERIAL},property:string,value:string,unit:string,conditions:map<string,string>,category:string,polarity:string,triple:array<string>,evidence_sentence:string>"
-_COMPARISON = "struct<baseline:string,modification:string,metric:string,direction:string,magnitude:string,conditions:map<string,string>,component:string,evidence_sentence:string>"
-_PAIR = "struct<sentence_1:string,sentence_2:string,category:string,subset_name:string>"
-_QA = "struct<question:string,answer:string,reasoning:string,question_type:string,answer_type:string,component:string,chemistry:string>"
-_IDEA = "struct<hypothesis:string,mechanism:string,risks:string,validation_experiments:array<string>,success_metrics:array<string>>"
-
-
-def _in(values: tuple[str, ...]) -> str:
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
-
-def _has(name: str) -> str:
-    return f"trim(coalesce({name}, '')) <> ''"
-
-
-#: By record: material, fact, comparison, batches of both, claim pairs, questions, false premise, rejection, ideas and judges.
-CONTRACTS = {
-    "material": Contract("name string, formula string, class string, component string", ("name",), {"component": _COMPONENT}),
-    "fact": Contract(f"material {_MATERIAL}, property string, value string, unit string, conditions map<string,string>, category string, polarity string, triple array<string>, evidence_sentence string",
-                     ("property", "evidence_sentence"), {"category": S.FACT_CATEGORIES, "polarity": (None, *S.POLARITIES)},
-                     rules=(("material: name is missing", _has("material.name")), ("triple: three elements or none", "coalesce(size(triple), 0) IN (-1, 0, 3)"))),
-    "comparison": Contract("baseline string, modification string, metric string, direction string, magnitude string, conditions map<string,string>, component string, evidence_sentence string",
-                           ("baseline", "modification", "metric", "evidence_sentence"), {"direction": S.DIRECTIONS, "component": _COMPONENT}),
-    "extraction_batch": Contract(f"results array<struct<chunk_index:int,facts:array<{_FACT}>,comparisons:array<{_COMPARISON}>>>",
-                                 rules=(("results: chunk_index is missing", "results IS NULL OR forall(results, r -> r.chunk_index IS NOT NULL)"),
-                                        ("results: a fact is not valid", f"results IS NULL OR forall(results, r -> r.facts IS NULL OR forall(r.facts, f -> {_has('f.material.name')} AND {_has('f.property')} AND {_has('f.evidence_sentence')} AND coalesce(f.category IN {_in(S.FACT_CATEGORIES)}, false) AND coalesce(f.polarity IN {_in(S.POLARITIES)}, true) AND coalesce(size(f.triple), 0) IN (-1, 0, 3)))"),
-                                        ("results: a comparison is not valid", f"results IS NULL OR forall(results, r -> r.comparisons IS NULL OR forall(r.comparisons, c -> {_has('c.baseline')} AND {_has('c.modification')} AND {_has('c.metric')} AND {_has('c.evidence_sentence')} AND coalesce(c.direction IN {_in(S.DIRECTIONS)}, false)))"))),
-    "claim_pair": Contract("sentence_1 string, sentence_2 string, category string, subset_name string", ("sentence_1", "sentence_2"), {"category": S.PAIR_CATEGORIES, "subset_name": S.PAIR_SUBSETS}),
-    "claim_batch": Contract(f"results array<struct<chunk_index:int,pairs:array<{_PAIR}>>>",
-                            rules=(("results: chunk_index is missing", "results IS NULL OR forall(results, r -> r.chunk_index IS NOT NULL)"),
-                                   ("results: a pair is not valid", f"results IS NULL OR forall(results, r -> r.pairs IS NULL OR forall(r.pairs, p -> {_has('p.sentence_1')} AND {_has('p.sentence_2')} AND coalesce(p.category IN {_in(S.PAIR_CATEGORIES)}, false) AND coalesce(p.subset_name IN {_in(S.PAIR_SUBSETS)}, false)))"))),
-    "qa_item": Contract("question string, answer string, reasoning string, question_type string, answer_type string, component string, chemistry string",
-                        ("question", "answer", "reasoning"), {"question_type": S.QUESTION_TYPES, "answer_type": S.ANSWER_TYPES, "component": _COMPONENT}),
-    "qa_generation": Contract(f"items array<{_QA}>", rules=(("items: an item is not valid", f"items IS NULL OR forall(items, q -> {_has('q.question')} AND {_has('q.answer')} AND {_has('q.reasoning')} AND coalesce(q.question_type IN {_in(S.QUESTION_TYPES)}, false) AND coalesce(q.answer_type IN {_in(S.ANSWER_TYPES)}, false))"),)),
-    "false_premise": Contract("prompt string, flawed_element string, expert_response string, reasoning string"),
-    "dpo_rejection": Contract("rejected string, error_type string", ("rejected",), {"error_type": S.DPO_ERRORS}),
-    "idea": Contract("hypothesis string, mechanism string, risks string, validation_experiments array<string>, success_metrics array<string>", ("hypothesis", "mechanism", "risks")),
-    "ideation": Contract(f"problem string, constraints array<string>, reasoning string, ideas array<{_IDEA}>", ("problem", "reasoning"),
-                         rules=(("ideas: an idea is not valid", f"ideas IS NULL OR forall(ideas, i -> {_has('i.hypothesis')} AND {_has('i.mechanism')} AND {_has('i.risks')})"),)),
-    "qa_judge": Contract("faithfulness int, correctness int, specificity int, rationale string", scores=("faithfulness", "correctness", "specificity")),
-    "ideation_judge": Contract("groundedness int, correctness int, novelty int, feasibility int, rationale string", scores=("groundedness", "correctness", "novelty", "feasibility")),
-    "open_judge": Contract("correct boolean, score int, rationale string", scores=("score",), rules=(("correct is missing", "correct IS NOT NULL"),)),
-    "negative_judge": Contract("caught_flaw boolean, rationale string", rules=(("caught_flaw is missing", "caught_flaw IS NOT NULL"),)),
+    message: str
+    good: Check
+    clean: Callable[[Column], Column] = lambda v: v
+    inner: str = ""
+    many: bool = False
+
+
+Contract = tuple[Field, ...]
+
+
+def _filled(name: str) -> Field:
+    return Field(name, "string", "blank", lambda v, has: ~T.blank(v), T.strip)
+
+
+def _given(name: str) -> Field:
+    return Field(name, "string", "missing", lambda v, has: v.isNotNull())
+
+
+def _maybe(name: str) -> Field:
+    return Field(name, "string", "", lambda v, has: F.lit(True))
+
+
+def _blank_to_null(name: str) -> Field:
+    return Field(name, "string", "", lambda v, has: F.lit(True), lambda v: F.nullif(T.strip(v), F.lit("")))
+
+
+def _said(name: str) -> Field:
+    return Field(name, "string", "null", lambda v, has: ~has | v.isNotNull(), lambda v: F.coalesce(v, F.lit("")))
+
+
+def _word(name: str, values: tuple[str, ...], *, optional: bool = False, default: str | None = None) -> Field:
+    """One of values. optional: null will do. default: what an absent key stands for; null won't do then."""
+
+    def good(v: Column, has: Column) -> Column:
+        known = F.coalesce(v.isin(*values), F.lit(False))
+        return known | v.isNull() if optional else known | ~has if default else known
+
+    return Field(name, "string", "not an allowed value", good, lambda v: F.coalesce(v, F.lit(default)) if default else v)
+
+
+def _score(name: str) -> Field:
+    return Field(name, "int", "not from 1 to 5", lambda v, has: v.between(1, 5))
+
+
+def _needed(name: str, ddl: str) -> Field:
+    return Field(name, ddl, "missing", lambda v, has: v.isNotNull())
+
+
+def _texts(name: str) -> Field:
+    return Field(name, "array<string>", "not a list of texts", lambda v, has: ~has | F.forall(v, lambda x: x.isNotNull()), lambda v: F.coalesce(v, F.array().cast("array<string>")))
+
+
+def _triple(name: str) -> Field:
+    return Field(name, "array<string>", "three elements or none", lambda v, has: ~has | F.size(v).isin(0, 3), lambda v: F.coalesce(v, F.array().cast("array<string>")))
+
+
+def _entries(name: str) -> Field:
+    return Field(name, "map<string,string>", "not a map of texts", lambda v, has: ~has | F.forall(F.map_values(v), lambda x: x.isNotNull()), lambda v: F.coalesce(v, F.create_map().cast("map<string,string>")))
+
+
+def _object(name: str, inner: str) -> Field:
+    return Field(name, "string", "missing", lambda v, has: v.isNotNull(), inner=inner)
+
+
+def _objects(name: str, inner: str) -> Field:
+    return Field(name, "array<string>", "not a list", lambda v, has: ~has | v.isNotNull(), inner=inner, many=True)
+
+
+#: Field names and vocabularies are fixed values. By record: material, fact, comparison, batches of both, claim pairs,
+#: questions, false premise, rejection, ideas and judges.
+CONTRACTS: dict[str, Contract] = {
+    "material": (_given("name"), _maybe("formula"), _maybe("class"), _word("component", S.COMPONENTS, optional=True)),
+    "fact": (_object("material", "material"), _filled("property"), _maybe("value"), _maybe("unit"), _entries("conditions"), _word("category", S.FACT_CATEGORIES),
+             _word("polarity", S.POLARITIES, default="positive"), _triple("triple"), _filled("evidence_sentence")),
+    "comparison": (_filled("baseline"), _filled("modification"), _filled("metric"), _word("direction", S.DIRECTIONS), _maybe("magnitude"), _entries("conditions"),
+                   _word("component", S.COMPONENTS, optional=True), _filled("evidence_sentence")),
+    "chunk_extraction": (_needed("chunk_index", "int"), _objects("facts", "fact"), _objects("comparisons", "comparison")),
+    "extraction_batch": (_objects("results", "chunk_extraction"),),
+    "claim_pair": (_filled("sentence_1"), _filled("sentence_2"), _word("category", S.PAIR_CATEGORIES), _word("subset_name", S.PAIR_SUBSETS)),
+    "chunk_pairs": (_needed("chunk_index", "int"), _objects("pairs", "claim_pair")),
+    "claim_batch": (_objects("results", "chunk_pairs"),),
+    "qa_item": (_filled("question"), _filled("answer"), _filled("reasoning"), _word("question_type", S.QUESTION_TYPES), _word("answer_type", S.ANSWER_TYPES), _word("component", S.COMPONENTS, optional=True), _maybe("chemistry")),
+    "qa_generation": (_objects("items", "qa_item"),),
+    "false_premise": tuple(map(_blank_to_null, ("prompt", "flawed_element", "expert_response", "reasoning"))),
+    "dpo_rejection": (_filled("rejected"), _word("error_type", S.DPO_ERRORS)),
+    "idea": (_filled("hypothesis"), _filled("mechanism"), _filled("risks"), _texts("validation_experiments"), _texts("success_metrics")),
+    "ideation": (_filled("problem"), _texts("constraints"), _filled("reasoning"), _objects("ideas", "idea")),
+    "qa_judge": (_score("faithfulness"), _score("correctness"), _score("specificity"), _said("rationale")),
+    "ideation_judge": (_score("groundedness"), _score("correctness"), _score("novelty"), _score("feasibility"), _said("rationale")),
+    "open_judge": (_needed("correct", "boolean"), _score("score"), _said("rationale")),
+    "negative_judge": (_needed("caught_flaw", "boolean"), _said("rationale")),
 }
 
 
-def validate(rows: DataFrame, reply: str, contract: Contract) -> DataFrame:
-    """rows with parsed (struct), valid and error, the first rule that fails.
+def _read(raw: Column, contract: Contract, then: Callable[[Column, Column, Column], Column]) -> Column:
+    """then(fields, keys, whether raw is an object). The parse is bound as the element of a one-element array, so that it happens once."""
+    ddl = ", ".join(f"`{f.name}` {f.ddl}" for f in contract) + ", _bad string"
+    one = F.struct(F.from_json(raw, ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("s"), F.json_object_keys(raw).alias("k"))
+    return F.transform(F.array(one), lambda x: then(x["s"], x["k"], x["k"].isNotNull() & x["s"].isNotNull() & x["s"]["_bad"].isNull()))[0]
+
+
+def _first(errors: list[Column]) -> Column:
+    return F.coalesce(*errors, F.lit(None).cast("string"))
+
+
+def _problem(raw: Column, contract: Contract, *, top: bool = False) -> Column:
+    """The first rule that a JSON text breaks, fields in their order; null if it keeps all. Within lists the first object that breaks one tells."""
+
+    def judged(s: Column, keys: Column, whole: Column) -> Column:
+        errors = [F.when(~F.coalesce(whole, F.lit(False)), "not JSON")]
+        if top:
+            known = F.arrays_overlap(keys, F.array(*(F.lit(f.name) for f in contract)))
+            errors.append(F.when((F.size(keys) > 0) & ~known, "no field of the schema"))
+        for f in contract:
+            good = f.good(s[f.name], F.array_contains(keys, f.name))
+            errors.append(F.when(~F.coalesce(good, F.lit(False)), f"{f.name}: {f.message}"))
+            if f.many:
+                found = F.filter(F.transform(s[f.name], _judge_of(f.inner)), lambda e: e.isNotNull())
+                errors.append(F.concat(F.lit(f"{f.name}: "), F.try_element_at(found, F.lit(1))))
+            elif f.inner:
+                errors.append(F.concat(F.lit(f"{f.name}: "), _problem(s[f.name], CONTRACTS[f.inner])))
+        return _first(errors)
+
+    return _read(raw, contract, judged)
+
+
+def _judge_of(name: str) -> Callable[[Column], Column]:
+    return lambda raw: _problem(raw, CONTRACTS[name])
+
+
+def _cleaned(raw: Column, contract: Contract) -> Column:
+    """The fields of a text that keeps all rules, as a struct: texts stripped, defaults filled in."""
+
+    def value(f: Field, v: Column) -> Column:
+        if f.many:
+            return F.coalesce(F.transform(v, lambda x: _cleaned(x, CONTRACTS[f.inner])), F.array())
+        return _cleaned(v, CONTRACTS[f.inner]) if f.inner else f.clean(v)
+
+    return _read(raw, contract, lambda s, keys, whole: F.struct(*(value(f, s[f.name]).alias(f.name) for f in contract)))
+
+
+def validate(rows: DataFrame, reply: str, contract: str) -> DataFrame:
+    """rows with parsed (struct, null unless valid), valid and error, the first rule that fails.
 
     A reply that is no JSON object is an error, and so is an object that shares no field with the contract; {} is judged
-    by the rules alone. Blank text counts as null where the contract fills it in.
+    by the rules alone. Texts that must be filled are stripped, absent lists, maps and words with a default get it. A
+    key that is there with null isn't absent. Columns of these three names are replaced.
     """
     raw = json_part(F.col(reply))
-    parsed = F.from_json(raw, f"{contract.ddl}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    keys = F.json_object_keys(raw)
-    foreign = (F.size(keys) > 0) & ~F.arrays_overlap(keys, F.array(*map(F.lit, contract.names)))
-    out = rows.withColumns({"_raw": raw, "_keys": keys, "parsed": parsed, "_foreign": foreign})
-    p = lambda n: F.col(f"parsed.{n}")
-    checks: list[tuple[str, Column]] = [("not JSON", (F.col("_raw") != "") & F.col("_keys").isNotNull() & F.col("parsed._bad").isNull()), ("no field of the schema", ~F.coalesce("_foreign", F.lit(False)))]
-    checks += [(f"{n}: blank", ~T.blank(p(n))) for n in contract.filled]
-    for n, allowed in contract.words.items():
-        good = p(n).isin(*(v for v in allowed if v is not None))
-        checks.append((f"{n}: not an allowed value", F.coalesce(good, F.lit(None in allowed))))
-    checks += [(f"{n}: not from 1 to 5", F.coalesce(p(n).between(1, 5), F.lit(False))) for n in contract.scores]
-    error = F.lit(None).cast("string")
-    out = out.withColumn("_p", F.col("parsed"))
-    flat = out.select(*(c for c in out.columns if c != "_p"), *(F.col(f"_p.{n}").alias(f"_f_{n}") for n in contract.names))
-    for message, predicate in contract.rules:
-        checks.append((message, F.expr(_renamed(predicate, contract.names))))
-    for message, good in reversed(checks):
-        error = F.when(~F.coalesce(good, F.lit(False)), message).otherwise(error)
-    flat = flat.withColumn("error", error)
-    kept = F.struct(*(F.col(f"parsed.{n}").alias(n) for n in contract.names))
-    return flat.withColumn("valid", F.col("error").isNull()).withColumn("parsed", F.when(F.col("valid"), kept)).drop("_raw", "_keys", "_foreign", *(f"_f_{n}" for n in contract.names))
-
-
-def _renamed(predicate: str, names: list[str]) -> str:
-    import re
-
-    return re.sub(rf"(?<![\w.'])({'|'.join(map(re.escape, names))})\b(?!')", r"_f_\1", predicate)
-
-
-def expand(rows: DataFrame, items: str, suffix: str, base: str) -> DataFrame:
+    out = rows.withColumn("error", _problem(raw, CONTRACTS[contract], top=True))
+    return out.withColumns({"valid": F.col("error").isNull(), "parsed": F.when(F.col("error").isNull(), _cleaned(raw, CONTRACTS[contract]))})
+
+
+def expand(rows: DataFrame, items: str, suffix: str, base: Column) -> DataFrame:
     """One row for each element of an array, with id = base, #, suffix and the element's place from 0."""
     flat = rows.select("*", F.posexplode(items).alias("_at", "item"))
-    return flat.withColumn("id", F.concat(F.col(base), F.lit(f"#{suffix}"), F.col("_at").cast("string"))).drop("_at")
+    return flat.withColumn("id", F.concat(base, F.lit(f"#{suffix}"), F.col("_at").cast("string"))).drop("_at")
 
 
 def check_grounding(rows: DataFrame, statement: Column, source: Column, least: float = 0.6) -> DataFrame:
     """Adds overlap, status (generated or rejected) and reject_reason."""
-    return _grounded(rows.withColumn("overlap", T.overlap_ratio(statement, source)), least)
-
-
-def _grounded(rows: DataFrame, least: float) -> DataFrame:
     good = F.col("overlap") >= least
-    return rows.withColumn("status", F.when(good, "generated").otherwise("rejected")).withColumn("reject_reason", F.when(~good, "not_grounded"))
+    return rows.withColumn("overlap", T.overlap_ratio(statement, source)).withColumn("status", F.when(good, "generated").otherwise("rejected")).withColumn("reject_reason", F.when(~good, "not_grounded"))
 
 
-def check_all_grounding(statements: DataFrame, statement: Column, sources: DataFrame, source: Column, keys: list[str], least: float = 0.6) -> DataFrame:
-    """(keys, overlap, status, reject_reason): each statement against each source, one row for each pair.
+def grounded_sources(statements: DataFrame, key: str, statement: Column, sources: DataFrame, source_key: str, source: Column, least: float = 0.6) -> DataFrame:
+    """(key, source_key, overlap): all sources that hold at least ``least`` of a statement's distinct words. Statements without words have none.
 
-    Of a source's words only those that some statement has are carried into the pairs. They are written once, as the
-    join would otherwise find them anew for each pair. The result has statements x sources rows, so its cost is that of the pairs.
+    A prefix-filtered join: of n words at least ceil(least * n) must be there, so one of any n - ceil(least * n) + 1 is.
+    The rarest words of all sources make this prefix. Sources are reduced to words that some statement has and written
+    once, as counting, joining and confirming read them; only pairs that share a prefix word are ever made.
     """
-    s = statements.withColumn("_s", F.array_distinct(T.words(statement)))
-    known = F.broadcast(s.select(F.explode("_s").alias("_word")).agg(F.collect_set("_word").alias("_known")))
-    w = sources.withColumn("_w", F.array_distinct(T.words(source))).crossJoin(known).withColumn("_w", F.array_intersect("_w", "_known"))
-    w = stored(w.select(*(k for k in keys if k in sources.columns), "_w"), "source-words")
-    pairs = w.crossJoin(s.select(*(k for k in keys if k in statements.columns), "_s"))
-    return _grounded(pairs.select(*keys, T.overlap_of(F.col("_s"), F.col("_w")).alias("overlap")), least)
+    s = statements.select(F.col(key), F.array_sort(F.array_distinct(T.words(statement))).alias("_s")).where(F.size("_s") > 0)
+    vocabulary = s.select(F.explode("_s").alias("_word")).distinct()
+    each = sources.select(F.col(source_key), F.explode(F.array_distinct(T.words(source))).alias("_word")).join(vocabulary, "_word", "left_semi")
+    w = stored(each.groupBy(source_key).agg(F.collect_set("_word").alias("_w")), "source-words")
+    rarity = w.select(F.explode("_w").alias("_word")).groupBy("_word").agg(F.count("*").alias("_n"))
+    ranked = s.select(key, F.explode("_s").alias("_word")).join(rarity, "_word", "left").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0).cast("long")).alias("n"), F.col("_word").alias("w")))).alias("_r"))
+    n = F.size("_r")
+    words_of = F.transform("_r", lambda x: x["w"])
+    prefix = stored(ranked.select(key, words_of.alias("_s"), F.explode(F.slice(words_of, F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))).alias("_word")), "prefixes")
+    pairs = w.select(source_key, F.explode("_w").alias("_word")).join(prefix.drop("_s"), "_word").select(key, source_key).distinct()
+    whole = pairs.join(prefix.select(key, "_s").distinct(), key).join(w, source_key)
+    return whole.select(key, source_key, T.overlap_of(F.col("_s"), F.col("_w")).alias("overlap")).where(F.col("overlap") >= least)
 
 
 #: Least score by dimension, for questions and for ideas (fixed values).
@@ -178,14 +235,14 @@ def contradiction_negatives(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     j = p.join(d, "_doc", "left")
     return j.select(
         F.concat("id", F.lit("#neg")).alias("id"), "doc_ids", T.or_else(F.col("license"), F.col("_license")).alias("license"), F.lit("generated").alias("status"), F.lit("contradiction_detection").alias("kind"),
-        F.concat(F.lit('Does this claim hold, given the source material? "'), "sentence_2", F.lit('"')).alias("prompt"), F.col("sentence_2").alias("flawed_element"),
-        F.concat(F.lit('No - this contradicts the source, which states: "'), "sentence_1", F.lit('" (altered via '), "subset_name", F.lit(").")).alias("expert_response"), F.col("id").alias("linked_positive_id"))
+        F.concat(F.lit('Is the following statement right, going by the source? "'), "sentence_2", F.lit('"')).alias("prompt"), F.col("sentence_2").alias("flawed_element"),
+        F.concat(F.lit('It is not. The source says: "'), "sentence_1", F.lit('" (what was changed: '), "subset_name", F.lit(").")).alias("expert_response"), F.col("id").alias("linked_positive_id"))
 
 
 def false_premises(rows: DataFrame) -> DataFrame:
-    """Rows (chunk_id, doc_id, parsed) whose prompt isn't blank, as negatives with stripped fields, blank ones null."""
-    clean = {n: F.nullif(T.strip(F.col(f"parsed.{n}")), F.lit("")) for n in CONTRACTS["false_premise"].names}
-    out = rows.withColumns(clean).where("prompt IS NOT NULL")
+    """Rows (chunk_id, doc_id, parsed) with a prompt, as negatives."""
+    clean = [f.name for f in CONTRACTS["false_premise"]]
+    out = rows.withColumns({n: F.col(f"parsed.{n}") for n in clean}).where("prompt IS NOT NULL")
     return out.select(F.concat("chunk_id", F.lit("#negfp")).alias("id"), F.array("doc_id").alias("doc_ids"), F.array("chunk_id").alias("chunk_ids"), F.lit("generated").alias("status"), F.lit("false_premise").alias("kind"), *clean)
 
 
@@ -208,6 +265,21 @@ def enough_evidence(facts: DataFrame, comparisons: DataFrame, least: int = 2) ->
     return both.groupBy("chunk_id").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
+def of_parent(rows: DataFrame, key: str, parents: DataFrame, parent: str) -> DataFrame:
+    """rows whose id begins with a parent's id and #, so doc:1 doesn't take doc:10#0. An equi-join on what stands before the first #
+    of each #-ended beginning; rows without # belong to nobody. Each row stays once."""
+    cuts = F.transform(F.sequence(F.lit(1), F.size(F.split(F.col(key), "#")) - 1), lambda i: F.call_function("substring_index", F.col(key), F.lit("#"), i))
+    begins = rows.withColumn("_begins", F.when(F.contains(F.col(key), F.lit("#")), cuts))
+    known = parents.select(F.col(parent).cast("string").alias("_parent")).distinct()
+    met = begins.select(F.col(key).alias("_key"), F.explode("_begins").alias("_parent")).join(known, "_parent", "left_semi").select("_key").distinct()
+    return rows.join(met, rows[key] == met["_key"], "left_semi")
+
+
+def about_chunk(rows: DataFrame, chunk_id: str, chunk_ids: str = "chunk_ids") -> DataFrame:
+    """rows whose list of chunks holds one; null lists hold none."""
+    return rows.where(F.array_contains(chunk_ids, chunk_id))
+
+
 def replace_by_key(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old without the keys that new brings, and new."""
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new)

@@ -35,10 +35,42 @@ def model_pivot(runs: DataFrame, chunk: str, label: str, labels: list[str], cell
     return wide.na.fill("n/a", labels)
 
 
-def step_deltas(log: DataFrame, run: str, step: str, cumulative: list[str]) -> DataFrame:
-    """Adds d_x for each cumulative column x: its growth since the run's step before, from 0 at the first."""
+def step_deltas(log: DataFrame, run: str, step: str, cumulative: list[str], elapsed: str | None = None, started: str | None = None) -> DataFrame:
+    """Adds d_x for each cumulative column x: its growth since the run's step before, from 0 at the first.
+
+    With elapsed (seconds since the run began, cumulative) and started (the run's start, seconds since 1970) also
+    start_time, when the step began, as UTC text."""
     w = W.partitionBy(run).orderBy(step)
-    return log.withColumns({f"d_{c}": F.col(c) - F.lag(c, 1, 0).over(w) for c in cumulative})
+    out = log.withColumns({f"d_{c}": F.col(c) - F.lag(c, 1, 0).over(w) for c in cumulative})
+    return out if elapsed is None else out.withColumn("start_time", utc_text(F.col(started) + F.lag(elapsed, 1, 0).over(w)))
+
+
+def utc_text(seconds: Column) -> Column:
+    """Seconds since 1970 as 2026-01-31T12:00:00Z, whatever the session's time zone; fractions are cut."""
+    whole = F.floor(seconds).cast("long")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(whole / 86_400).cast("int"))
+    left = F.pmod(whole, F.lit(86_400))
+    two = lambda c: F.lpad(F.floor(c).cast("string"), 2, "0")
+    return F.concat(day.cast("string"), F.lit("T"), two(left / 3600), F.lit(":"), two(left % 3600 / 60), F.lit(":"), two(left % 60), F.lit("Z"))
+
+
+def first_and_more(df: DataFrame, item: str, n: int = 8) -> DataFrame:
+    """(items, more): the first n distinct items in order and how many are left. One row, also for none."""
+    names = df.select(F.col(item).alias("_i")).where("_i IS NOT NULL").distinct()
+    first = names.orderBy("_i").limit(n).agg(F.array_sort(F.collect_list("_i")).alias("items"))
+    return first.join(names.agg(F.count("*").alias("_n"))).select("items", F.greatest(F.col("_n") - n, F.lit(0).cast("long")).alias("more"))
+
+
+def log_rows(log: DataFrame, at: str, *, level: str | None = None, levels: tuple[str, ...] = ("debug", "info", "warning", "error"), since: Column | None = None, holds: Column | None = None, last: int | None = None) -> DataFrame:
+    """Rows of a log at ``level`` or above, from ``since`` on, that hold; with last the newest so many by time, the table's other columns settling ties."""
+    out = log
+    if level is not None:
+        out = out.where(F.col("level").isin(*levels[levels.index(level):]))
+    if since is not None:
+        out = out.where(F.col(at) >= since)
+    if holds is not None:
+        out = out.where(holds)
+    return out if last is None else out.orderBy(F.desc(at), *(F.desc(c) for c in log.columns if c != at)).limit(last)
 
 
 def last_step(log: DataFrame, run: str, step: str, *columns: str) -> DataFrame:

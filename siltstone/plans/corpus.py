@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as T
-from siltstone.operators import corpus, dedupe, reports
+from siltstone.operators import corpus, dedupe, records, reports
 from siltstone.plans import inputs as I
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -62,6 +62,31 @@ def norm_title_dedupe(spark, d):
     return corpus.first_of_title(I.documents(spark, d), F.col("title")).select("doc_id", "norm_title", "canonical_id")
 
 
+@query(f"""WITH {I.DOCS}, t AS (SELECT doc_id, array_to_string({_WORDS.format('title')}, ' ') AS norm_title, 'doi:' || doc_id % 211 AS doi, doc_id % 5 = 0 AS has FROM docs),
+    c AS (SELECT *, CASE WHEN norm_title = '' THEN doc_id ELSE min(doc_id) OVER (PARTITION BY norm_title) END AS c FROM t), f AS (SELECT doi, min(c) AS first FROM c WHERE has GROUP BY doi),
+    h AS (SELECT c, min(first) AS first FROM c JOIN f USING (doi) WHERE has GROUP BY c) SELECT doc_id, norm_title, coalesce(least(first, c.c), c.c) AS canonical_id FROM c LEFT JOIN h ON h.c = c.c""")
+def discover_dedupe(spark, d):
+    docs = I.documents(spark, d).withColumn("doi", F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(" DOI:"), (F.col("doc_id") % 211).cast("string"))))
+    return corpus.first_of_work(docs, F.col("title"), F.col("doi")).select("doc_id", "norm_title", "canonical_id")
+
+
+_CLEAN = r"regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g')"
+_HEAD = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)</h[1-6]\s*>"
+_PLAIN = r"trim(regexp_replace(regexp_replace({0}, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(rf"""WITH c AS (SELECT page_id, {_CLEAN} AS h FROM pages WHERE html IS NOT NULL),
+    a AS (SELECT page_id, regexp_extract_all(h, '{_HEAD}', 1) AS levels, regexp_extract_all(h, '{_HEAD}', 2) AS titles, string_split(regexp_replace(h, '{_HEAD}', chr(1), 'g'), chr(1)) AS bodies FROM c),
+    s AS (SELECT page_id, unnest(bodies) AS body, unnest(range(0, len(bodies))) AS section FROM a),
+    t AS (SELECT page_id, unnest(levels)::INT AS level, unnest(titles) AS title, unnest(range(1, len(levels) + 1)) AS section FROM a),
+    p AS (SELECT x.page_id, x.section, string_agg({_PLAIN.format('y.title')}, ' > ' ORDER BY y.section) AS path FROM t x JOIN t y ON y.page_id = x.page_id AND y.section <= x.section AND (y.section = x.section OR y.level < x.level)
+          WHERE NOT EXISTS (SELECT 1 FROM t z WHERE z.page_id = x.page_id AND z.section > y.section AND z.section <= x.section AND z.level <= y.level) GROUP BY ALL)
+    SELECT page_id, section::INT AS section, coalesce(level, 0) AS level, coalesce(path, '') AS path, md5({_PLAIN.format('body')}) AS text_md5 FROM s LEFT JOIN t USING (page_id, section) LEFT JOIN p USING (page_id, section)""")
+def page_sections(spark, d):
+    s = corpus.sections(I.table(spark, d, "pages"), "page_id")
+    return s.select("page_id", "section", "level", F.array_join("path", " > ").alias("path"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 @query(f"""WITH w AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
     s AS (SELECT doc_id, list_has_any(w, ['the', 'der', 'les']) AND list_has_any(w, ['of', 'die', 'des']) AS must, list_has_any(w, ['with', 'mit'])::INT + list_has_any(w, ['from', 'sur'])::INT AS relevance FROM w)
     SELECT doc_id, relevance, CASE WHEN NOT must THEN 'rejected' WHEN relevance >= 1 THEN 'accepted' ELSE 'borderline' END AS screening FROM s""")
@@ -79,14 +104,16 @@ def garble_filter(spark, d):
     return corpus.drop_garbled(I.table(spark, d, "documents"), F.col("text")).select("doc_id", "garble")
 
 
-_LINES = r"""lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> '') AS l FROM documents)),
-    sized AS (SELECT doc_id, line, i, len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: w <> '')) AS n FROM lines),
+_CHUNKS = r"""lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> '') AS l FROM documents)),
+    sized AS (SELECT doc_id, line, i, {size} AS n FROM lines),
     walk AS (SELECT doc_id, i, 0 AS ord, n FROM sized WHERE i = 1 UNION ALL
-        SELECT s.doc_id, s.i, CASE WHEN w.n + s.n <= 100 THEN w.ord ELSE w.ord + 1 END, CASE WHEN w.n + s.n <= 100 THEN w.n + s.n ELSE s.n END FROM walk w JOIN sized s ON s.doc_id = w.doc_id AND s.i = w.i + 1),
+        SELECT s.doc_id, s.i, CASE WHEN w.n + s.n <= {target} THEN w.ord ELSE w.ord + 1 END, CASE WHEN w.n + s.n <= {target} THEN w.n + s.n ELSE s.n END FROM walk w JOIN sized s ON s.doc_id = w.doc_id AND s.i = w.i + 1),
     chunks AS (SELECT doc_id, ord, sum(s.n)::BIGINT AS tokens, string_agg(line, chr(10) ORDER BY s.i) AS body FROM walk JOIN sized s USING (doc_id, i) GROUP BY doc_id, ord)"""
+_COUNT = r"len(list_filter(regexp_split_to_array({0}, '\s+'), lambda w: w <> ''))"
+_LINES = _CHUNKS.format(size=_COUNT.format("line"), target=100)
 
 
-@query(f"WITH RECURSIVE {_LINES} SELECT doc_id || '#c' || lpad(ord::VARCHAR, greatest(2, 2), '0') AS chunk_id, doc_id, ord::INT AS chunk_order, tokens, md5(body) AS text_md5 FROM chunks WHERE ord < 100")
+@query(f"WITH RECURSIVE {_LINES} SELECT doc_id || '#c' || lpad(ord::VARCHAR, greatest(2, len(ord::VARCHAR))::INT, '0') AS chunk_id, doc_id, ord::INT AS chunk_order, tokens, md5(body) AS text_md5 FROM chunks")
 def chunk_segments(spark, d):
     c = corpus.chunk(I.table(spark, d, "documents"), target=100)
     return c.select("chunk_id", "doc_id", F.col("order").alias("chunk_order"), "tokens", F.md5(F.col("text").cast("binary")).alias("text_md5"))
@@ -106,24 +133,45 @@ def cpt_pack(spark, d):
     return p.select("doc_id", F.col("row").alias("pack_row"), "tokens", F.size("chunk_ids").alias("n_chunks"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
-@query(f"""WITH s AS (SELECT item_id, list_distinct({_WORDS.format('text')}) AS s FROM benchmark), w AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
-    r AS (SELECT item_id, doc_id, CASE WHEN len(s) > 0 THEN len(list_intersect(s, w))::DOUBLE / len(s) ELSE 0 END AS overlap FROM s JOIN w ON doc_id % 40 = item_id % 40)
-    SELECT item_id, doc_id, overlap, CASE WHEN overlap >= 0.6 THEN 'generated' ELSE 'rejected' END AS status, CASE WHEN overlap < 0.6 THEN 'not_grounded' END AS reject_reason FROM r""")
+@query(f"""WITH RECURSIVE {_LINES} SELECT c.doc_id, c.ord::INT AS chunk_order, md5(coalesce(array_to_string(list_slice(list_filter(regexp_split_to_array(p.body, '\\s+'), lambda w: w <> ''), -15, -1), ' ') || chr(10) || chr(10), '') || c.body) AS text_md5,
+    CASE WHEN p.body IS NULL THEN 0 ELSE least(15, {_COUNT.format('p.body')}) END::INT AS overlap FROM chunks c LEFT JOIN chunks p ON p.doc_id = c.doc_id AND p.ord = c.ord - 1""")
+def chunk_overlap_tail(spark, d):
+    c = corpus.chunk(I.table(spark, d, "documents"), target=100, overlap=15)
+    return c.select("doc_id", F.col("order").alias("chunk_order"), F.md5(F.col("text").cast("binary")).alias("text_md5"), F.col("overlap_prev_tokens").alias("overlap"))
+
+
+@query(f"WITH RECURSIVE {_CHUNKS.format(size='(len(line) + 3) // 4', target=150)} SELECT doc_id, ord::INT AS chunk_order, tokens, md5(body) AS text_md5 FROM chunks")
+def chunk_by_characters(spark, d):
+    """Chunks by an injected counter: four characters, or what is left of them, are a token."""
+    quarter = lambda t: F.floor((F.char_length(t) + 3) / 4)
+    c = corpus.chunk(I.table(spark, d, "documents"), target=150, count=quarter)
+    return c.select("doc_id", F.col("order").alias("chunk_order"), "tokens", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+@query(f"""WITH {I.QA}, s AS (SELECT id, doc, list_distinct({_WORDS.format('turns[2].content')}) AS s FROM qa), r AS (SELECT id, CASE WHEN len(s) > 0 THEN len(list_intersect(s, {_WORDS.format('text')}))::DOUBLE / len(s) ELSE 0 END AS overlap FROM s JOIN documents ON doc_id = doc)
+    SELECT id, overlap, CASE WHEN overlap >= 0.1 THEN 'generated' ELSE 'rejected' END AS status, CASE WHEN overlap < 0.1 THEN 'not_grounded' END AS reject_reason FROM r""")
 def grounding_check(spark, d):
-    from siltstone.operators import records
+    """Each answer against the document that it comes from. The invented answers share few words with it, so the bound is low."""
+    qa = I.qa(spark, d).select("id", F.col("doc_ids")[0].alias("doc_id"), F.get("turns", F.lit(1))["content"].alias("answer"))
+    rows = qa.join(I.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    return records.check_grounding(rows, F.coalesce("answer", F.lit("")), F.col("text"), least=0.1).select("id", "overlap", "status", "reject_reason")
+
 
-    items, docs = I.table(spark, d, "benchmark").select("item_id", "text"), I.table(spark, d, "documents").select("doc_id", "text")
-    return records.check_all_grounding(items, F.col("text"), docs, F.col("text"), ["item_id", "doc_id"])
+@query(f"""WITH s AS (SELECT item_id, list_distinct({_WORDS.format('text')}) AS s FROM benchmark), w AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+    r AS (SELECT item_id, doc_id, len(list_intersect(s, w))::DOUBLE / len(s) AS overlap FROM s CROSS JOIN w WHERE len(s) > 0) SELECT * FROM r WHERE overlap >= 0.6""")
+def grounded_sources(spark, d):
+    """For each benchmark item all documents that ground it."""
+    return records.grounded_sources(I.table(spark, d, "benchmark"), "item_id", F.col("text"), I.table(spark, d, "documents"), "doc_id", F.col("text"))
 
 
-_SETS = f"""w AS (SELECT doc_id, lang, source, {_WORDS.format('text')} AS w FROM documents WHERE n_chars <= 4000),
+_SETS = f"""w AS (SELECT doc_id, lang, source, {_WORDS.format('text')} AS w FROM documents),
     s AS (SELECT DISTINCT doc_id, lang, source, md5(array_to_string(list_slice(w, p, p + 2), ' ')) AS k FROM (SELECT doc_id, lang, source, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
     c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (lang, source, k) WHERE a.doc_id < b.doc_id GROUP BY ALL)"""
 
 
 @query(f"""WITH {_SETS}, l AS (SELECT y AS doc_id, min(x) AS duplicate_of FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE c >= 0.85 * (a.n + b.n - c) - 1e-9 GROUP BY y)
-    SELECT d.doc_id, duplicate_of, CASE WHEN duplicate_of IS NULL THEN 'accepted' ELSE 'rejected' END AS status FROM documents d LEFT JOIN l USING (doc_id)""".replace(" WHERE n_chars <= 4000", ""))
+    SELECT d.doc_id, duplicate_of, CASE WHEN duplicate_of IS NULL THEN 'accepted' ELSE 'rejected' END AS status FROM documents d LEFT JOIN l USING (doc_id)""")
 def near_dup_exact(spark, d):
     return dedupe.mark_duplicates(I.table(spark, d, "documents"), "doc_id", F.col("text"), ["lang", "source"]).select("doc_id", "duplicate_of", "status")
 

@@ -67,8 +67,8 @@ PAIRS = """pairs AS (SELECT 'item' || item_id AS id, item_id AS doc, CASE WHEN i
     substr(text, 1, 60) AS sentence_1, substr(text, 61, 60) AS sentence_2, CASE WHEN item_id % 2 = 0 THEN 'contradiction' ELSE 'paraphrase' END AS category, 'numeric' AS subset_name FROM benchmark)"""
 
 NEGATIVES = f"""{PAIRS}, negatives AS (SELECT p.id || '#neg' AS id, p.doc, coalesce(nullif(p.license, ''), d.license) AS license, 'generated' AS status,
-    'Does this claim hold, given the source material? "' || sentence_2 || '"' AS prompt, sentence_2 AS flawed_element,
-    'No - this contradicts the source, which states: "' || sentence_1 || '" (altered via ' || subset_name || ').' AS expert_response, p.id AS linked_positive_id
+    'Is the following statement right, going by the source? "' || sentence_2 || '"' AS prompt, sentence_2 AS flawed_element,
+    'It is not. The source says: "' || sentence_1 || '" (what was changed: ' || subset_name || ').' AS expert_response, p.id AS linked_positive_id
     FROM pairs p LEFT JOIN docs d ON d.doc_id = p.doc WHERE category = 'contradiction' AND status = 'generated')"""
 
 
@@ -104,7 +104,7 @@ CLASSES = "".join(
     f"###  https://example.org/demo#Demo_{n:08x}_0000_0000_0000_{n:012x}\nrdfs:subClassOf :Demo_{p:08x}_0000_0000_0000_{p:012x} ;\nskos:prefLabel \"{label}\"@en ;\n" + (f'skos:altLabel "{alt}"@en ;\n' if alt else "") + (f'definition "{text}"@en .\n' if text else ".\n") + (f'formula "{formula}" .\n' if formula else "")
     for n, p, label, alt, text, formula in (
         (1, 99, "Thing", "", "anything at all", ""), (2, 1, "Device", "", "A thing made for a purpose.", ""), (3, 2, "BatteryCell", "cell", "A device that stores charge", ""),
-        (4, 3, "LithiumCell", "", "", ""), (5, 4, "SolidStateLithiumCell", "the", "", ""), (6, 1, "Salt", "", "", ""), (7, 6, "LithiumSalt", "and", "", "LiX"), (8, 9, "LoopA", "", "a loop", ""), (9, 8, "LoopB", "", "", "")))
+        (4, 3, "LithiumCell", "of the", "", ""), (5, 4, "SolidStateLithiumCell", "the", "", ""), (6, 1, "Salt", "", "", ""), (7, 6, "LithiumSalt", "and", "", "LiX"), (8, 9, "LoopA", "", "a loop", ""), (9, 8, "LoopB", "", "", "")))
 
 
 def classes(spark: SparkSession) -> DataFrame:
@@ -116,5 +116,5 @@ def classes(spark: SparkSession) -> DataFrame:
 _ID = "'Demo_' || lpad({0}, 8, '0') || '_0000_0000_0000_' || lpad({0}, 12, '0')"
 CLASS_ROWS = f"""classes AS (SELECT {_ID.format('n')} AS id, label, alt_label, definition, formula, CASE WHEN p <> '99' THEN {_ID.format('p')} END AS parent_id FROM (VALUES
     ('1', '99', 'Thing', NULL, 'anything at all', NULL), ('2', '1', 'Device', NULL, 'A thing made for a purpose.', NULL), ('3', '2', 'BatteryCell', 'cell', 'A device that stores charge', NULL),
-    ('4', '3', 'LithiumCell', NULL, NULL, NULL), ('5', '4', 'SolidStateLithiumCell', 'the', NULL, NULL), ('6', '1', 'Salt', NULL, NULL, NULL), ('7', '6', 'LithiumSalt', 'and', NULL, 'LiX'),
+    ('4', '3', 'LithiumCell', 'of the', NULL, NULL), ('5', '4', 'SolidStateLithiumCell', 'the', NULL, NULL), ('6', '1', 'Salt', NULL, NULL, NULL), ('7', '6', 'LithiumSalt', 'and', NULL, 'LiX'),
     ('8', '9', 'LoopA', NULL, 'a loop', NULL), ('9', '8', 'LoopB', NULL, NULL, NULL)) AS v(n, p, label, alt_label, definition, formula))"""

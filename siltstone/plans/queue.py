@@ -27,6 +27,11 @@ def pending_tasks(spark, d):
     return tasks.pending(I.table(spark, d, "documents").select("doc_id"), I.attempts(spark, d), "extract", "doc_id")
 
 
+@query(f"WITH {I.ATTEMPTS} SELECT doc_id FROM documents WHERE 'extract:' || doc_id NOT IN (SELECT key FROM attempts WHERE status = 'done') ORDER BY doc_id LIMIT 25")
+def first_pending(spark, d):
+    return tasks.pending(I.table(spark, d, "documents").select("doc_id"), I.attempts(spark, d), "extract", "doc_id", first=25)
+
+
 @query(f"WITH {I.ATTEMPTS} SELECT key, count(*) AS attempts, arg_max(status, event_id) AS status, arg_max(value, event_id) AS value FROM attempts GROUP BY key")
 def task_latest_state(spark, d):
     return tasks.latest_state(I.attempts(spark, d), "key", "event_id", "status", "value")
@@ -65,6 +70,14 @@ def ledger_daily(spark, d):
     return tasks.ledger(a, "deployment", "ts", "cents")
 
 
+@query(f"""WITH {I.ATTEMPTS}, u AS (SELECT deployment, ts::DATE AS day, count(*) AS n_calls FROM attempts GROUP BY ALL), l AS (SELECT * FROM (VALUES ('view', 20), ('click', 0), ('error', NULL)) AS v(deployment, rpd))
+    SELECT deployment, day, n_calls, rpd, greatest(rpd - n_calls, 0) AS "left", coalesce(n_calls >= rpd, false) AS exhausted FROM u LEFT JOIN l USING (deployment)""".replace('AS "left"', 'AS calls_left').replace("greatest(rpd - n_calls, 0)", "CASE WHEN rpd IS NOT NULL THEN greatest(rpd - n_calls, 0) END"))
+def ledger_usage(spark, d):
+    limits = spark.createDataFrame([("view", 20), ("click", 0), ("error", None)], "deployment string, rpd int")
+    days = tasks.ledger(I.attempts(spark, d), "deployment", "ts", "event_id").drop("spend")
+    return tasks.usage(days, limits, "deployment").select("deployment", "day", "n_calls", "rpd", F.when(F.col("rpd").isNotNull(), F.col("left")).alias("calls_left"), "exhausted")
+
+
 @query(f"WITH {I.ATTEMPTS} SELECT event_id, deployment, count(*) OVER (PARTITION BY deployment ORDER BY ts RANGE BETWEEN INTERVAL 3599 SECONDS PRECEDING AND CURRENT ROW) AS n_in_window FROM attempts")
 def rate_window(spark, d):
     return tasks.in_window(I.attempts(spark, d), "deployment", "ts", 3600).select("event_id", "deployment", "n_in_window")
@@ -101,6 +114,46 @@ def step_diff(spark, d):
     return reports.step_deltas(I.table(spark, d, "events"), "user_id", "event_id", ["value"]).select("user_id", "event_id", "d_value")
 
 
+@query("""SELECT user_id, event_id, strftime(make_timestamp(((user_id * 86399 + floor(coalesce(lag(value) OVER (PARTITION BY user_id ORDER BY event_id), 0)))::BIGINT * 1000000)::BIGINT), '%Y-%m-%dT%H:%M:%SZ') AS start_time FROM events""")
+def step_times(spark, d):
+    e = I.table(spark, d, "events").withColumn("began", F.col("user_id") * 86_399)
+    return reports.step_deltas(e, "user_id", "event_id", ["value"], "value", "began").select("user_id", "event_id", "start_time")
+
+
+@query("SELECT event_id, ts, event_type, value FROM events WHERE event_type IN ('click', 'error') AND ts >= (SELECT min(ts) FROM events) AND value > 5 ORDER BY ts DESC, event_id DESC LIMIT 100")
+def log_tail(spark, d):
+    log = I.table(spark, d, "events").withColumn("level", F.col("event_type")).select("event_id", "ts", "level", "event_type", "value")
+    since = F.lit("1990-01-01").cast("timestamp_ntz")
+    return reports.log_rows(log, "ts", level="click", levels=("view", "click", "error"), since=since, holds=F.col("value") > 5, last=100).select("event_id", "ts", "event_type", "value")
+
+
+@query("SELECT array_to_string(list_sort(list(DISTINCT c_mktsegment))[1:3], ',') AS items, count(DISTINCT c_mktsegment) - 3 AS more FROM customer")
+def first_and_more(spark, d):
+    return reports.first_and_more(I.table(spark, d, "customer"), "c_mktsegment", 3).select(F.array_join("items", ",").alias("items"), "more")
+
+
+@query("SELECT doc_id, (doc_id - (SELECT min(doc_id) FROM documents)) % 7 <> 3 AS answered FROM documents")
+def batch_replies(spark, d):
+    """Replies to batches of 32: each leaves out the documents of one remainder, which are asked again singly."""
+    docs = I.table(spark, d, "documents").select("doc_id")
+    asked = tasks.batches(docs, "doc_id", 32)
+    first = docs.agg(F.min("doc_id").alias("first"))
+    given = asked.join(first).where((F.col("doc_id") - F.col("first")) % 7 != 3)
+    replies = given.groupBy("batch_id").agg(F.collect_list(F.struct("chunk_index", F.lit("ok").alias("said"))).alias("results"))
+    got, missed = tasks.match_replies(asked, replies)
+    return got.select("doc_id", F.lit(True).alias("answered")).unionByName(missed.select("doc_id", F.lit(False).alias("answered")))
+
+
+@query("SELECT conv_id, turn, CASE WHEN min(conv_id * 100 + turn) OVER (PARTITION BY text) % 2 = 0 THEN 'known ' || substr(text, 1, 5) ELSE 'asked ' || substr(text, 1, 5) END AS reply FROM conversations")
+def cached_replies(spark, d):
+    """Prompts of which some are cached, one of them twice; the others are asked of a given function."""
+    c = I.table(spark, d, "conversations")
+    seen = c.groupBy("text").agg(F.min(F.col("conv_id") * 100 + F.col("turn")).alias("k")).where("k % 2 = 0")
+    cache = seen.select(F.sha2("text", 256).alias("prompt_sha"), F.concat(F.lit("known "), F.substring("text", 1, 5)).alias("reply"))
+    twice = cache.unionByName(cache.select("prompt_sha", F.concat("reply", F.lit("!")).alias("reply")))
+    return tasks.complete(c.select("conv_id", "turn", "text"), "text", lambda prompts: [f"asked {p[:5]}" for p in prompts], twice).select("conv_id", "turn", "reply")
+
+
 @query("SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def last_step(spark, d):
     return reports.last_step(I.table(spark, d, "events"), "user_id", "event_id", "value")
@@ -117,12 +170,12 @@ def model_summary(spark, d):
 _CELL = "min(CASE WHEN value > 10 THEN (event_id % 5) || 'f' ELSE 'FAILED' END) FILTER (WHERE event_type = '{0}')"
 
 
-@query("SELECT user_id, " + ", ".join(f"coalesce({_CELL.format(t)}, 'n/a') AS \"{t}\"" for t in ("view", "click", "error")) + " FROM events WHERE event_id % 20 = 0 GROUP BY user_id")
+@query("SELECT user_id, " + ", ".join(f"coalesce({_CELL.format(t)}, 'n/a') AS \"{t}\"" for t in ("view", "click", "error")) + " FROM events GROUP BY user_id")
 def model_pivot(spark, d):
     return reports.model_pivot(I.table(spark, d, "events"), "user_id", "event_type", ["view", "click", "error"], F.when(F.col("value") > 10, F.concat((F.col("event_id") % 5).cast("string"), F.lit("f"))).otherwise("FAILED"))
 
 
-@query()
+@query("SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def stream_tasks(spark, d):
     """Newest attempt of each user, from events read as a stream that ends with what is there."""
     import uuid

@@ -83,15 +83,30 @@ def attribution_manifest(spark, d):
     return export.attribution(_sft(spark, d)).select("split", "source_key", "license", "title", F.array_join(F.transform("row_indexes", lambda x: x.cast("string")), ",").alias("rows"))
 
 
-@query(f"WITH {_SFT}, {_MANIFEST} SELECT source_key, min(license) AS license, sum(n)::BIGINT * 2 AS n_rows FROM m GROUP BY source_key")
+@query(f"WITH {_SFT}, {_MANIFEST} SELECT source_key, min(license) AS license, sum(n)::BIGINT AS n_rows FROM (SELECT source_key, license, n FROM m UNION ALL SELECT coalesce(nullif(doi, ''), doc_id::VARCHAR), min(license), count(*) FROM (SELECT qa.doc AS doc FROM qa WHERE status = 'accepted' AND len(turns) >= 2) p JOIN docs ON docs.doc_id = p.doc WHERE NOT blacklisted GROUP BY ALL) GROUP BY source_key")
 def attribution_union(spark, d):
+    """Over the manifests of both instruction files and of the preference pairs."""
     m = export.attribution(_sft(spark, d))
-    return export.attribution_union(m, m)
+    dpo = export.attribution(export.dpo_rows(_dpo(spark, d), I.documents(spark, d)))
+    return export.attribution_union(m.where("split = 'train'"), m.where("split = 'eval'"), dpo)
 
 
 _BAD = f"{I.VERDICT.format('source_license')} <> 'ALLOWED'"
 
 
+@query(f"WITH {_SFT}, {_MANIFEST} SELECT split, string_agg(source_key || '=' || rows, ';' ORDER BY source_key) AS sources FROM m WHERE source_key NOT IN (SELECT source_key FROM sft WHERE {_BAD}) GROUP BY split")
+def manifest_filter(spark, d):
+    rows = _sft(spark, d)
+    kept = export.manifest_without(export.attribution(rows), rows.where(T.license_verdict(F.col("source_license")) != "ALLOWED").select("source_key"))
+    listed = F.transform(F.map_entries("sources"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.transform(e["value"]["row_indexes"], lambda x: x.cast("string")), ",")))
+    return kept.select("split", F.array_join(listed, ";").alias("sources"))
+
+
+@query("SELECT doc_id, 'no text' AS error FROM documents WHERE regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') = ''")
+def cpt_invalid_rows(spark, d):
+    return export.invalid_rows(I.table(spark, d, "documents"), "cpt").select("doc_id", "error")
+
+
 @query(f"""WITH {_SFT}, g AS (SELECT split, bool_and(NOT {_BAD}) AS shareable, count(*) AS n_rows, count(*) FILTER (WHERE {_BAD}) AS restricted_rows, count(DISTINCT source_key) FILTER (WHERE {_BAD}) AS restricted_docs FROM sft GROUP BY split)
     SELECT f.split, coalesce(shareable, false) AS shareable, coalesce(n_rows, 0) AS n_rows, coalesce(restricted_rows, 0) AS restricted_rows, coalesce(restricted_docs, 0) AS restricted_docs FROM (VALUES ('train'), ('eval'), ('open')) AS f(split) LEFT JOIN g USING (split)""")
 def license_gate_summary(spark, d):
@@ -123,7 +138,7 @@ _GOLD = f"""{I.DOCS}, {I.QA}, {I.NEGATIVES}, {I.IDEAS}, every AS (
     SELECT CASE WHEN answer_type = 'CLOSED' THEN 'closed_qa' ELSE 'open_qa' END AS category, id, doc, turns[1].content AS question, turns[2].content AS answer, CASE WHEN answer_type = 'CLOSED' THEN closed_label END AS label FROM qa WHERE status = 'accepted'
     UNION ALL SELECT 'negative_detection', id, doc, prompt, expert_response, NULL FROM negatives UNION ALL SELECT 'ideation', id, doc, question, answer, NULL FROM ideas WHERE status = 'accepted'),
     ranked AS (SELECT every.*, row_number() OVER (PARTITION BY category ORDER BY id) AS n FROM every JOIN docs ON docs.doc_id = every.doc WHERE split = 'eval'),
-    gold AS (SELECT 'gold-' || category || '-' || id AS gold_id, category, id AS source_id, question, answer AS reference_answer, label AS closed_label FROM ranked WHERE n <= CASE category WHEN 'closed_qa' THEN 3 WHEN 'open_qa' THEN 400 WHEN 'negative_detection' THEN 300 ELSE 20 END)"""
+    gold AS (SELECT 'gold-' || category || '-' || id AS gold_id, category, id AS source_id, question, answer AS reference_answer, label AS closed_label FROM ranked WHERE n <= CASE category WHEN 'closed_qa' THEN 600 WHEN 'open_qa' THEN 400 WHEN 'negative_detection' THEN 300 ELSE 200 END)"""
 
 
 def _gold(spark, d):
@@ -186,7 +201,7 @@ def rubric_means(spark, d):
     return evaluate.rubric_means(rows)
 
 
-_EVIDENCE = "SELECT user_id % 97 AS k, CASE WHEN value > 5 THEN 'generated' ELSE 'rejected' END AS status, event_type FROM events WHERE event_id % 50 = 0"
+_EVIDENCE = "SELECT user_id % 97 AS k, CASE WHEN value > 5 THEN 'generated' ELSE 'rejected' END AS status, event_type FROM events"
 
 
 @query(f"SELECT 'c' || k AS chunk_id, count(*) AS n FROM ({_EVIDENCE}) WHERE status = 'generated' AND event_type IN ('view', 'click') GROUP BY k HAVING count(*) >= 2")
@@ -195,83 +210,72 @@ def enough_facts(spark, d):
     return records.enough_evidence(rows.where("event_type = 'view'"), rows.where("event_type = 'click'"))
 
 
-_JSON_ROWS = """SELECT conv_id, turn, conv_id * 100 + turn AS k, text FROM conversations"""
-
-
-def _replies(spark, d, good: str, bad: dict[int, str], every: int):
-    """Replies made from conversations: good JSON, spoilt by the remainder of a row's number."""
+@query(f"SELECT 'c' || conv_id || '-' || turn || '#negfp' AS id, CASE k % 3 WHEN 0 THEN 'ask' END AS prompt, CASE k % 2 WHEN 0 THEN 'flaw' END AS flawed_element FROM (SELECT conv_id, turn, conv_id * 100 + turn AS k, text FROM conversations) WHERE k % 3 = 0")
+def validate_false_premise(spark, d):
     n = F.col("conv_id") * 100 + F.col("turn")
-    reply = F.expr(good)
-    for at, text in bad.items():
-        reply = F.when(n % every == at, F.expr(text)).otherwise(reply)
-    return I.table(spark, d, "conversations").select("conv_id", "turn", n.alias("k"), reply.alias("reply"))
-
-
-def _verdict(cases: dict[int, str], every: int) -> str:
-    arms = " ".join(f"WHEN {at} THEN '{e}'" for at, e in cases.items())
-    return f"SELECT conv_id, turn, (CASE k % {every} {arms} END) IS NULL AS valid, CASE k % {every} {arms} END AS error FROM ({_JSON_ROWS})"
-
-
-def _validated(spark, d, contract, good, bad, every):
-    return records.validate(_replies(spark, d, good, bad, every), "reply", records.CONTRACTS[contract]).select("conv_id", "turn", "valid", "error")
-
-
-_FACT = """'{"material": {"name": "NMC", "class": "oxide"}, "property": "capacity", "category": "%s", "triple": [%s], "evidence_sentence": "%s"}'"""
-
-
-@query(_verdict({1: "category: not an allowed value", 2: "triple: three elements or none", 3: "evidence_sentence: blank", 4: "not JSON", 5: "no field of the schema"}, 7))
-def validate_fact(spark, d):
-    return _validated(spark, d, "fact", _FACT % ("thermal", '"a", "b", "c"', "seen"), {1: _FACT % ("odd", "", "seen"), 2: _FACT % ("thermal", '"a"', "seen"), 3: _FACT % ("thermal", "", "  "), 4: "'no reply'", 5: """'{"other": 1}'"""}, 7)
+    reply = F.concat(F.lit('{"prompt": "'), F.when(n % 3 == 0, " ask ").when(n % 3 == 1, "  ").otherwise(""), F.lit('", "flawed_element": "'), F.when(n % 2 == 0, "flaw").otherwise(" "), F.lit('"}'))
+    rows = I.table(spark, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("chunk_id"), F.col("conv_id").alias("doc_id"), reply.alias("reply"))
+    return records.false_premises(records.validate(rows, "reply", "false_premise")).select("id", "prompt", "flawed_element")
 
 
-_QA = """'{"question": "%s", "answer": "a", "reasoning": "r", "question_type": "%s", "answer_type": "OPEN"}'"""
+@query(f"""WITH RECURSIVE {I.CLASS_ROWS}, up(id, depth, ancestor, path) AS (SELECT id, 0, id, [id] FROM classes UNION ALL
+    SELECT u.id, u.depth + 1, p.id, list_append(u.path, p.id) FROM up u JOIN classes c ON c.id = u.ancestor JOIN classes p ON p.id = c.parent_id WHERE NOT list_contains(u.path, p.id)) SELECT id, depth, ancestor FROM up""")
+def ontology_ancestors(spark, d):
+    return ontology.ancestors(I.classes(spark))
 
 
-@query(_verdict({1: "question: blank", 2: "question_type: not an allowed value", 3: "question: blank"}, 5))
-def validate_qa(spark, d):
-    return _validated(spark, d, "qa_item", _QA % ("q", "mechanism"), {1: _QA % (" ", "mechanism"), 2: _QA % ("q", "riddle"), 3: "'{}'"}, 5)
+_UP = f"""{I.CLASS_ROWS}, up(id, depth, ancestor, path) AS (SELECT id, 0, id, [id] FROM classes UNION ALL
+    SELECT u.id, u.depth + 1, p.id, list_append(u.path, p.id) FROM up u JOIN classes c ON c.id = u.ancestor JOIN classes p ON p.id = c.parent_id WHERE NOT list_contains(u.path, p.id)),
+    chain AS (SELECT up.id, depth, c.id AS cid, label, alt_label, definition, formula, coalesce(label, alt_label, c.id) AS name FROM up JOIN classes c ON c.id = up.ancestor)"""
 
 
-@query(_verdict({1: "faithfulness: not from 1 to 5", 2: "specificity: not from 1 to 5", 3: "not JSON"}, 5))
-def validate_judge(spark, d):
-    row = """'{"faithfulness": %d, "correctness": 5, "specificity": %d, "rationale": "fine"}'"""
-    return _validated(spark, d, "qa_judge", row % (4, 3), {1: row % (0, 3), 2: row % (4, 6), 3: """'{"faithfulness": 4,'"""}, 5)
+@query(f"""WITH RECURSIVE {_UP}, said AS (SELECT id, depth, CASE WHEN depth = 0 THEN name || ' is' ELSE 'It is a kind of ' || name || ':' END || ' ' ||
+    CASE WHEN definition IS NOT NULL THEN definition || CASE WHEN regexp_matches(definition, '[.)]\\s*$') THEN '' ELSE '.' END
+         WHEN formula IS NOT NULL OR alt_label <> name THEN concat_ws(', ', 'formula ' || formula, CASE WHEN alt_label <> name THEN 'also called ' || alt_label END) || '.' END AS t FROM chain)
+    SELECT id, string_agg(t, ' ' ORDER BY depth) AS text FROM said WHERE t IS NOT NULL GROUP BY id""")
+def ontology_render(spark, d):
+    return ontology.definitions(I.classes(spark))
 
 
-@query(f"SELECT 'c' || conv_id || '-' || turn || '#negfp' AS id, CASE k % 3 WHEN 0 THEN 'ask' END AS prompt, CASE k % 2 WHEN 0 THEN 'flaw' END AS flawed_element FROM ({_JSON_ROWS}) WHERE k % 3 = 0")
-def validate_false_premise(spark, d):
-    n = F.col("conv_id") * 100 + F.col("turn")
-    reply = F.concat(F.lit('{"prompt": "'), F.when(n % 3 == 0, " ask ").when(n % 3 == 1, "  ").otherwise(""), F.lit('", "flawed_element": "'), F.when(n % 2 == 0, "flaw").otherwise(" "), F.lit('"}'))
-    rows = I.table(spark, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("chunk_id"), F.col("conv_id").alias("doc_id"), reply.alias("reply"))
-    return records.false_premises(records.validate(rows, "reply", records.CONTRACTS["false_premise"])).select("id", "prompt", "flawed_element")
+_SPACED = r"lower(trim(regexp_replace(regexp_replace({0}, '([A-Za-z])([0-9])', '\1 \2', 'g'), '([A-Z])', ' \1', 'g')))"
 
 
-@query(_verdict({2: "no field of the schema", 3: "not JSON"}, 4))
-def validate_fence(spark, d):
-    good = """concat('Here it is:\\n```json\\n', '{"name": "LFP", "component": "cathode"}', '\\n```')"""
-    return _validated(spark, d, "material", good, {1: """'{"name": "LFP"} trailing words'""", 2: """'{"first": 1, "second": 2}'""", 3: "'{not json}'"}, 4)
+@query(rf"""WITH RECURSIVE {_UP}, n AS (SELECT id, depth, {_SPACED.format('name')} AS s, {_SPACED.format('coalesce(label, cid)')} AS own, coalesce(definition, alt_label) AS more FROM chain),
+    g AS (SELECT id, max(own) FILTER (WHERE depth = 0) AS own, string_agg(s, ' is a kind of ' ORDER BY depth) AS kinds, coalesce(max(more) FILTER (WHERE depth = 1), CASE WHEN max(depth) = 0 THEN max(more) END) AS more,
+          '[' || max(own) FILTER (WHERE depth = 0) || ']' || coalesce(string_agg(chr(10) || '  is a kind of: ' || s || coalesce(' ("' || more || '")', ''), '' ORDER BY depth) FILTER (WHERE depth > 0), '') AS block FROM n GROUP BY id)
+    SELECT id, block, '{ontology.CLASSES_HEADING}' || chr(10) || '- ' || own || ': ' || kinds || coalesce(' - "' || more || '"', '') || chr(10) || chr(10) || '{ontology.ANSWER_HEADING}' || chr(10) || 'Because of ' || own AS answer FROM g""")
+def ontology_answer(spark, d):
+    """Each class as the only one that a question names: its context block and the report with a given explanation."""
+    c = ontology.chains(I.classes(spark))
+    own = T.spaced_name(F.coalesce(F.col("chain")[0]["label"], F.col("chain")[0]["id"]))
+    section = ontology.classification_section(F.array(ontology.classification_line(F.col("chain"))))
+    return c.select("id", ontology.context_blocks(F.array("chain")).alias("block"), ontology.assembled_answer(section, F.concat(F.lit("  Because of "), own, F.lit("\n"))).alias("answer"))
 
 
-@query(f"""WITH RECURSIVE {I.CLASS_ROWS}, up(id, depth, ancestor, path) AS (SELECT id, 0, id, [id] FROM classes UNION ALL
-    SELECT u.id, u.depth + 1, p.id, list_append(u.path, p.id) FROM up u JOIN classes c ON c.id = u.ancestor JOIN classes p ON p.id = c.parent_id WHERE NOT list_contains(u.path, p.id)) SELECT id, depth, ancestor FROM up""")
-def ontology_ancestors(spark, d):
-    return ontology.ancestors(I.classes(spark))
+@query(f"""WITH RECURSIVE {_UP}, below AS (SELECT up.id FROM up JOIN classes c ON c.id = up.ancestor WHERE c.label IN ('LithiumCell', 'LoopA') UNION SELECT id FROM classes WHERE regexp_matches(label, '^Lithium.*t$'))
+    SELECT DISTINCT ancestor AS id FROM up WHERE id IN (SELECT id FROM below)""")
+def ontology_subset(spark, d):
+    return ontology.subtree(I.classes(spark), "LithiumCell", "LoopA", pattern="^Lithium.*t$")
 
 
-_TEXTS = {1: "Thing is anything at all.", 2: "Device is A thing made for a purpose. It is a kind of Thing: anything at all."}
-_CELL = "A device that stores charge. It is a kind of Device: A thing made for a purpose. It is a kind of Thing: anything at all."
+@query(f"WITH {I.CLASS_ROWS} SELECT id, label, alt_label, definition, formula, CASE WHEN parent_id IN (SELECT id FROM classes) OR parent_id IS NOT NULL THEN parent_id END AS parent_id FROM classes UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL WHERE false")
+def class_file(spark, d):
+    """The class file, written and scanned."""
+    import uuid
 
+    from siltstone.engine import shared_dir
 
-@query("SELECT " + I._ID.format("n") + " AS id, text FROM (VALUES ('1', 'Thing is anything at all.'), ('2', 'Device is A thing made for a purpose. It is a kind of Thing: anything at all.'), "
-       f"('3', 'BatteryCell is {_CELL}'), ('4', 'It is a kind of BatteryCell: {_CELL}'), ('5', 'SolidStateLithiumCell is also called the. It is a kind of BatteryCell: {_CELL}'), ('6', 'It is a kind of Thing: anything at all.'), "
-       "('7', 'LithiumSalt is formula LiX, also called and. It is a kind of Thing: anything at all.'), ('8', 'LoopA is a loop.'), ('9', 'It is a kind of LoopA: a loop.')) AS v(n, text)")
-def ontology_render(spark, d):
-    return ontology.definitions(I.classes(spark))
+    path = f"{shared_dir(spark)}/siltstone-classes-{uuid.uuid4().hex}"
+    spark.createDataFrame([(I.CLASSES,)], "value string").coalesce(1).write.text(path)
+    found = ontology.read_classes(spark, path)
+    known = [r["id"] for r in ontology.parse_classes(spark.createDataFrame([(b,) for b in I.CLASSES.split("###  ")], "value string")).select("id").collect()]
+    return found.withColumn("parent_id", F.when(F.col("parent_id").isin(*known), F.col("parent_id")))
 
 
 @query(rf"""WITH {I.CLASS_ROWS}, t AS (SELECT DISTINCT id, lower(alt_label) AS term FROM classes WHERE alt_label IS NOT NULL),
-    q AS (SELECT item_id, ' ' || regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_]', ' ', 'g') || ' ' AS q FROM benchmark)
-    SELECT item_id, id, term, (strpos(q, ' ' || term || ' ') - 1)::INT AS start FROM q JOIN t ON contains(q, ' ' || term || ' ')""")
+    q AS (SELECT item_id, ' ' || regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_]', ' ', 'g') || ' ' AS q, lower(text) AS raw FROM benchmark),
+    m AS (SELECT item_id, id, term, (strpos(q, ' ' || term || ' ') - 1)::INT AS start FROM q JOIN t ON contains(q, ' ' || term || ' ') AND (term NOT LIKE '% %' OR contains(raw, term)))
+    SELECT item_id, id, term, start FROM m WHERE NOT EXISTS (SELECT 1 FROM m x WHERE x.item_id = m.item_id AND len(x.term) > len(m.term) AND x.start < m.start + len(m.term) AND m.start < x.start + len(x.term))""")
 def term_match(spark, d):
     return ontology.find_terms(I.table(spark, d, "benchmark"), "item_id", "text", ontology.search_terms(I.classes(spark)))
 
@@ -296,10 +300,61 @@ def stopping_rule(spark, d):
     return reports.acceptance_stability(rows, "source", "doc_id", F.col("quality") == 1, window=5).select("source", "doc_id", "rate", "stable")
 
 
-@query(f"WITH {I.DOCS}, {I.QA} SELECT id, md5(array_to_string([text], '')) AS source_md5 FROM qa JOIN docs ON docs.doc_id = qa.doc")
+@query("""WITH r AS (SELECT DISTINCT conv_id, unnest([conv_id + 1, conv_id, conv_id + 2, -1]) AS c, unnest([0, 1, 2, 3]) AS place FROM conversations)
+    SELECT conv_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY place)) AS source_md5, count(*)::INT AS n FROM r JOIN documents ON doc_id = c GROUP BY conv_id""")
 def source_texts(spark, d):
+    """Lists of three chunks that aren't in the order of their ids, and one that isn't there."""
+    i = F.col("conv_id")
+    rows = I.table(spark, d, "conversations").select("conv_id").distinct().select(i.alias("id"), F.array(i + 1, i, i + 2, F.lit(-1).cast("long")).alias("chunk_ids"))
     chunks = I.table(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
-    return records.chunk_texts(I.qa(spark, d).select("id", F.col("doc_ids").alias("chunk_ids")), chunks).select("id", F.md5(F.col("source_text").cast("binary")).alias("source_md5"))
+    n = rows.select("id", F.explode("chunk_ids").alias("chunk_id")).join(chunks, "chunk_id").groupBy("id").agg(F.count("*").cast("int").alias("n"))
+    return records.chunk_texts(rows, chunks).join(n, "id").select(F.col("id").alias("conv_id"), F.md5(F.col("source_text").cast("binary")).alias("source_md5"), "n")
+
+
+@query("SELECT conv_id || '#' || turn AS id FROM conversations WHERE conv_id % 3 = 0")
+def rows_of_parents(spark, d):
+    """Rows by the id before #: parents 3, 6, ... don't take the rows of 30, 60, ..., which are there by themselves."""
+    c = I.table(spark, d, "conversations")
+    rows = c.select(F.concat_ws("#", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"))
+    return records.of_parent(rows, "id", c.where("conv_id % 3 = 0").select("conv_id").distinct(), "conv_id")
+
+
+@query(f"WITH {I.DOCS} SELECT doc_id::VARCHAR || '#c00' AS chunk_id FROM docs WHERE {I.VERDICT.format('license')} <> 'ALLOWED'")
+def chunks_of_restricted(spark, d):
+    docs = I.documents(spark, d)
+    chunks = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit("#c00")).alias("chunk_id"))
+    return records.of_parent(chunks, "chunk_id", docs.where(T.license_verdict(F.col("license")) != "ALLOWED"), "doc_id")
+
+
+@query("SELECT event_id FROM events WHERE list_contains(['c' || user_id % 10, 'c' || event_id % 7], 'c3')")
+def rows_about_chunk(spark, d):
+    c = lambda k, n: F.concat(F.lit("c"), (F.col(k) % n).cast("string"))
+    rows = I.table(spark, d, "events").select("event_id", F.array(c("user_id", 10), c("event_id", 7)).alias("chunk_ids"))
+    return records.about_chunk(rows, "c3").select("event_id")
+
+
+@query("SELECT conv_id || '#t' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS id, md5(text) AS text_md5 FROM conversations")
+def expand_items(spark, d):
+    per = I.table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("items"))
+    return records.expand(per, "items", "t", per["conv_id"].cast("string")).select("id", F.md5(F.col("item.text").cast("binary")).alias("text_md5"))
+
+
+@query("SELECT conv_id, md5(string_agg('[Excerpt ' || n || ']' || chr(10) || text, chr(10) || chr(10) ORDER BY n)) AS prompt_md5 FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations) GROUP BY conv_id")
+def batch_prompts(spark, d):
+    per = I.table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("items"))
+    return per.select("conv_id", F.md5(records.batch_prompt(F.transform("items", lambda x: x["text"])).cast("binary")).alias("prompt_md5"))
+
+
+@query(rf"SELECT c_custkey, {_SPACED.format("replace(c_name, '#', '') || 'OfSegment' || c_mktsegment")} AS name FROM customer")
+def spaced_names(spark, d):
+    return I.table(spark, d, "customer").select("c_custkey", T.spaced_name(F.concat(F.regexp_replace("c_name", "#", ""), F.lit("OfSegment"), "c_mktsegment")).alias("name"))
+
+
+@query("SELECT conv_id, turn, 'Yes: ' || len(text) AS answer FROM conversations WHERE role = 'user'")
+def generated_answers(spark, d):
+    """Answers of a given function to each question."""
+    rows = I.table(spark, d, "conversations").where("role = 'user'")
+    return evaluate.answer_with(rows, "text", lambda questions: [f"Yes: {len(q)}" for q in questions]).select("conv_id", "turn", "answer")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN value * 1000 ELSE (value - 200)::DOUBLE * 3700 / 1000 END AS drawn FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, abs(floor(value) * -1 * 3700.0::DOUBLE / 1000) FROM events WHERE event_id % 2 = 1")

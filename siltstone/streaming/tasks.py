@@ -21,9 +21,3 @@ def ingest(spark: SparkSession, path: str, schema: str, checkpoint: str, target:
     rows = spark.read.schema(f"{schema}").parquet(target)
     names = [c for c in rows.columns if c != "batch"]
     return rows.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("_r")).select("_r.*")
-
-
-def windowed_counts(events: DataFrame, at: str, group: str, minutes: int = 60, late: str = "2 hours") -> DataFrame:
-    """(start, group, n) by event time; rows later than ``late`` behind the newest are dropped when events stream."""
-    out = events.withWatermark(at, late).groupBy(F.window(at, f"{minutes} minutes"), group).agg(F.count("*").alias("n"))
-    return out.select(F.col("window.start").alias("start"), group, "n")
