@@ -96,7 +96,8 @@ def exact_groups(docs: DataFrame, *, block_chars: int = BLOCK_CHARS, fingerprint
     ids = done[0]
     for more in done[1:]:
         ids = ids.unionByName(more)
-    groups = ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("m").alias("group_size"))
+    # Written, as adaptive execution doesn't split a join that shares its stage with an aggregate; a large group of copies is one name.
+    groups = stored(ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("m").alias("group_size")), "groups")
     out = ids.join(groups, ["level", "name"])
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
