@@ -1,12 +1,14 @@
-"""Bounded samples of labelled and unlabelled documents, for fitting on the driver."""
+"""Bounded samples of labelled and unlabelled documents. Whole texts stay in a written table; the driver gets what is made of them."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Documents of a sample, at most, and the longest text that may be drawn into one: together they bound the driver's memory.
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
+from siltstone.llm.common import stored
+
+#: Documents of a sample, at most.
+SAMPLE_ROWS = 4000
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -14,12 +16,13 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(True))
 
 
-def drawn(docs: DataFrame, ids: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> list[tuple[int, str]]:
-    """(y, text) of up to rows documents for the rows (doc_id, y) of ids that come first by a hash of the id."""
+def drawn(docs: DataFrame, ids: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, y, text), a written table of whole texts: up to rows documents for the rows (doc_id, y) of ids that come
+    first by a hash of the id, texts of any length. Null texts are empty. An id that docs repeat gives one row, its least text."""
     first = ids.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     d = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    got = d.join(F.broadcast(first), "doc_id").where(F.length("text") <= chars)  # rows bounds what is broadcast
-    return [(r["y"], r["text"]) for r in got.orderBy("doc_id", "text").select("y", "text").collect()]
+    got = d.join(F.broadcast(first), "doc_id")  # rows bounds what is broadcast
+    return stored(got.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text")), "sample")
 
 
 def training_labels(labels: DataFrame, column: str, parts: int, part: int) -> DataFrame:

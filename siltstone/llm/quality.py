@@ -32,7 +32,8 @@ for _i, _bytes in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqr
 
 
 def features(text: str) -> list[float]:
-    """Shape of a whole text: sizes, shares of character classes, and how much of it repeats. An empty text gives zeros."""
+    """Shape of a whole text: sizes, shares of character classes, and how much of it repeats. Of an empty text all are 0 but the share of
+    distinct lines, the rate of distinct words and the mark of a text without words."""
     raw = text.encode()
     words = text.split()
     n, nw = max(len(raw), 1), max(len(words), 1)
@@ -109,15 +110,24 @@ def estimated_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     return float(np.clip(above(su)[best] / above(sp)[best], 0.05, 0.99))
 
 
+def _sample(docs: DataFrame, ids: DataFrame, rows: int) -> np.ndarray:
+    """Features of a sample's whole texts, found by the executors, in the order of ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [features(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+
+    sample = drawn(docs, ids, rows)
+    got = sample.select("doc_id", "text").mapInArrow(run, f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    return np.array([r["x"] for r in got.orderBy("doc_id").collect()], float).reshape(-1, N_FEATURES)
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fits on at most sample_rows positives and as many unlabelled documents. None if there are under 8 of either."""
-    wanted = training_labels(labels, "quality", PARTS, PART).where("y = 1")
-    pos = [t for _, t in drawn(docs, wanted, sample_rows)]
-    unl = [t for _, t in drawn(docs, docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.lit(0).alias("y")), sample_rows)]
-    if min(len(pos), len(unl)) < 8:
-        return None
-    pos, unl = np.array([features(t) for t in pos]), np.array([features(t) for t in unl])
-    return _fit(pos, unl, estimated_prior(pos, unl))
+    pos = _sample(docs, training_labels(labels, "quality", PARTS, PART).where("y = 1"), sample_rows)
+    unl = _sample(docs, docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.lit(0).alias("y")), sample_rows)
+    return _fit(pos, unl, estimated_prior(pos, unl)) if min(len(pos), len(unl)) >= 8 else None
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -144,10 +154,13 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that score LEAST_SCORE at least, with all their columns and no shuffle."""
+    """The rows of docs that score LEAST_SCORE at least, with all their columns and no shuffle. Without documents there is
+    nothing to keep; documents without enough labels to fit on are an error, as keeping all or none of them would be a guess."""
     model = fit_quality(docs, labels)
     if model is None:
-        return docs
+        if docs.isEmpty():
+            return docs
+        raise ValueError("quality: at least 8 documents labelled 1 outside the held-out part, and 8 in all, are needed to fit")
     schema, names = docs.schema, docs.columns
     place = names.index("text")
 

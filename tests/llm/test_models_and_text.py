@@ -71,7 +71,32 @@ def test_toxicity_on_held_out_documents(spark):
     text = "All is well. You are an idiot and a moron. Good day."
     spans = toxicity.offending_sentences(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).first()["spans"]
     assert [text[s["start"] : s["end"]].strip() for s in spans] == ["You are an idiot and a moron"]
-    assert {r["score"] for r in toxicity.toxicity_report(docs, labels.limit(0)).collect()} == {0.0}
+    assert {(r["score"], r["sentences"]) for r in toxicity.toxicity_report(docs, labels.limit(0)).collect()} == {(0.0, "")}
+    long = "It rests well. 12\n" * 10_000
+    rows = spark.createDataFrame([(1, long), (1, long), (2, long + "You are an idiot and a moron."), (3, None), (4, ""), (None, "İ İ x. You are an idiot and a moron!")], "doc_id long, text string")
+    got = [(r["doc_id"], r["score"], r["spans"]) for r in toxicity.judge_documents(rows, model).collect()]
+    assert all((s < 0.2 and not spans) if d in (1, 3, 4) else (s > 0.7 and len(spans) == 1) for d, s, spans in got)
+    assert {d: (x[0]["start"], x[0]["end"]) for d, _, x in got if x} == {2: (len(long), len(long) + 28), None: (6, 35)}
+
+
+def test_models_without_documents(spark):
+    _, labels = quality_tables(spark)
+    none = spark.createDataFrame([], "doc_id long, text string")
+    for report in (quality.quality_report, toxicity.toxicity_report):
+        assert report(none, labels).collect() == []
+    assert quality.keep_good(none, labels).collect() == []
+    with pytest.raises(ValueError, match="at least 8"):
+        quality.keep_good(spark.createDataFrame([(1, "x")], "doc_id long, text string"), labels)
+
+
+def test_samples_are_whole_texts_of_distinct_ids(spark):
+    from siltstone.llm.labelled import drawn
+
+    docs = spark.createDataFrame([(i % 5, "x" * (30_000 + i)) for i in range(50)] + [(7, None)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i, 1) for i in range(9)] * 2, "doc_id long, y int")
+    got = drawn(docs, ids, 9).collect()
+    assert sorted((r["doc_id"], len(r["text"])) for r in got) == [(i, 30_000 + i) for i in range(5)] + [(7, 0)]
+    assert drawn(docs, ids, 3).count() <= 3
 
 
 def test_held_out_parts(spark):
