@@ -15,6 +15,9 @@ RAW = frozenset("script style title textarea noscript template iframe svg select
 BLOCK = frozenset("address article aside blockquote body br button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
+_NEXT_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})\b", re.I)
+_OPTION_END = re.compile(rf"</?(?:option|optgroup|select|datalist|{'|'.join(sorted(BLOCK))})\b", re.I)
 _SCOPE = frozenset("ul ol dl table body article section div main aside nav footer header form".split())
 _OPENERS = BLOCK - {"p", "br", "hr", "label", "button", "li", "td", "th", "tr", "dt", "dd", "html", "head", "body"}
 
@@ -28,12 +31,18 @@ class Block:
 
 
 def leaf_blocks(page: str | None) -> list[Block]:
-    """The blocks with text, in page order. path: open elements from the outside in; marks: words of their class, id and role; linked: characters within links."""
+    """The blocks with text, in page order. path: open elements from the outside in; marks: words of their class, id and role; linked: characters within links.
+
+    The text of RAW elements is skipped up to their end tag. A self-closed svg has no text. An option ends at the next
+    option or at the end of its list. A RAW element whose end tag is missing ends at the next tag of a block, so that
+    the rest of the page stays.
+    """
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = []
     parts: list[str] = []
     linked, links, at, n = 0, 0, 0, len(page)
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -80,8 +89,19 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         if name in RAW:
             flush() if name not in {"select", "option", "svg"} else None
-            end = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n
+            if name == "svg" and m[3].endswith("/"):
+                continue
+            if name == "option":
+                end = _OPTION_END.search(page, at)
+                at = end.start() if end else n
+                continue
+            end = None if name in endless else _END[name].search(page, at)
+            if end is None:
+                endless.add(name)
+                end = _NEXT_BLOCK.search(page, at)
+                at = end.start() if end else n
+            else:
+                at = end.end()
             continue
         if name in BLOCK:
             flush()

@@ -6,6 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
+from hand_pages import HAND_PAGES
 from siltstone.llm import bpe, html_blocks, html_extract, quality, toxicity
 from siltstone.llm.labelled import held_out
 
@@ -113,6 +114,23 @@ def test_html_field_on_held_out_pages():
     assert np.mean(right) > 0.98
 
 
+@pytest.mark.parametrize("at", range(len(HAND_PAGES)))
+def test_html_pages_of_other_systems(at):
+    page, want = HAND_PAGES[at]
+    assert html_extract.default_field().main_text(page) == want
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<p>a</p><svg class=x/><p>b</p>", ["a", "b"]), ("<p>a</p><svg><text>no</text></svg><p>b</p>", ["a", "b"]), ("<p>a</p><datalist><option value=x></datalist><p>b</p>", ["a", "b"]),
+    ("<select><option>no<option>no</select>b", ["b"]), ("<option>no<p>b", ["b"]), ("<p>a<script>no<p>b", ["a", "b"]), ("<title>no</title><p>b", ["b"]), ("<textarea>no<p>no</p></textarea>b", ["b"]), ("<style>no", [])])
+def test_raw_elements_leave_the_rest_of_the_page(page, want):
+    assert [b.text for b in html_blocks.leaf_blocks(page)] == want
+
+
+def test_html_of_no_pages(spark):
+    assert html_extract.pages_report(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_html_pages(spark):
     page = """<html><head><title>T</title><script>var t="</p>";</script></head><body><nav><a href=/>Menu</a></nav><div class="ad">Buy now, it is cheap.</div>
       <article><h1>Head &amp; more</h1><p><b>First  part of a long enough sentence here.<br><p>Second &lt;part&gt; of the text, with <a href="x">a link</a> inside.</p></article>
@@ -124,5 +142,5 @@ def test_html_pages(spark):
 
 
 def test_blocks_survive_broken_markup():
-    for page in ("<" * 5000, "<p title=\"" + "a" * 5000, "</div>" * 3000, "<b>" * 3000 + "x", "<!-- open", "<script>never closed"):
+    for page in ("<" * 5000, "<p title=\"" + "a" * 5000, "</div>" * 3000, "<svg>" * 20_000, "<option>" * 20_000, "<select>" * 20_000, "<b>" * 3000 + "x", "<!-- open", "<script>never closed"):
         html_blocks.leaf_blocks(page)
