@@ -11,8 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters before a span in which context words count, what such a word adds, and the least score of a further kind.
+#: Characters on either side of a span in which context words count, what such a word adds, and the least score of a further kind.
 CONTEXT_CHARS, CONTEXT_BONUS, LEAST_SCORE = 40, 0.35, 0.6
+#: Matches that are placed together.
+GROUP = 128
 
 
 @dataclass(frozen=True)
@@ -71,21 +73,39 @@ def _confirmed(kind: str, m: Column) -> Column:
 
 
 def _matches(text: Column, kind: Kind) -> Column:
-    r"""Array of (start, end, match, before): leftmost matches that don't overlap. Each step of the pattern takes what lies
-    before a match with it, and \G lets it begin only where the last step ended, so a text is walked once."""
+    r"""Array of (start, end, match, before, after): leftmost matches that don't overlap, and what stands next to them, up to the
+    neighbouring matches. Each step of the pattern takes what lies before a match with it, and \G lets it begin only where
+    the last step ended, so a text is walked once for each of the two groups."""
     step = rf"\G((?s:.*?))({kind.start}{kind.body})"
-    before, match = (F.regexp_extract_all(text, F.lit(step), F.lit(i)) for i in (1, 2))
-    none = F.array().cast("array<struct<start:int,end:int,match:string,before:string>>")
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    found = F.struct(*(F.regexp_extract_all(text, F.lit(step), F.lit(i)).alias(n) for i, n in ((1, "before"), (2, "match"))))
+    none = F.array().cast("array<struct<start:int,end:int,match:string,before:string,after:string>>")
+    size = lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + F.char_length(x))
 
     def add(a: Column, x: Column) -> Column:
         start = a["at"] + F.char_length(x["before"])
         end = start + F.char_length(x["match"])
-        row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), F.substring(x["before"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"))
+        row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), F.substring(x["before"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"), F.substring(x["after"], 1, CONTEXT_CHARS).alias("after"))
         return F.struct(end.alias("at"), F.concat(a["out"], F.array(row)).alias("out"))
 
-    pairs = F.zip_with(before, match, lambda b, m: F.struct(b.alias("before"), m.alias("match")))
-    return F.when(text.rlike(kind.need), F.aggregate(pairs, zero, add, lambda a: a["out"])).otherwise(none)
+    def placed(groups: Column) -> Column:
+        """Places within each group from where it starts: appending all matches to one array would copy it for each match."""
+        long = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda a, x: a + F.char_length(x["before"]) + F.char_length(x["match"])))
+        begun = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(long, begun, lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+        return F.flatten(F.zip_with(groups, starts, lambda g, at: F.aggregate(g, F.struct(at.alias("at"), none.alias("out")), add, lambda a: a["out"])))
+
+    def listed(f: Column) -> Column:
+        before, match = f["before"], f["match"]
+        rest = F.substring(text, size(before) + size(match) + 1, F.lit(CONTEXT_CHARS))
+        after = F.concat(F.slice(before, F.lit(2), F.size(before)), F.array(rest))
+        pairs = F.zip_with(before, match, lambda b, m: F.struct(b.alias("before"), m.alias("match")))
+        triples = F.zip_with(pairs, after, lambda p, n: F.struct(p["before"].alias("before"), p["match"].alias("match"), n.alias("after")))
+        cut = lambda t: F.transform(F.sequence(F.lit(0), F.floor((F.size(t) - 1) / GROUP).cast("int")), lambda i: F.slice(t, i * GROUP + 1, F.lit(GROUP)))
+        groups = F.transform(F.array(triples), cut)[0]
+        return F.when(F.size(match) > 0, F.transform(F.array(groups), placed)[0]).otherwise(none)
+
+    # Bound as the element of a one-element array, so that the text is walked once however often the matches are named.
+    return F.when(text.rlike(kind.need), F.transform(F.array(found), listed)[0]).otherwise(none)
 
 
 def pii_spans(docs: DataFrame) -> DataFrame:
@@ -97,7 +117,7 @@ def pii_spans(docs: DataFrame) -> DataFrame:
 
 def _spans_of(text: Column, place: int, kind: Kind) -> Column:
     def span(x: Column) -> Column:
-        score = F.lit(kind.base) + F.when(x["before"].rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+        score = F.lit(kind.base) + F.when(x["before"].rlike(kind.context) | x["after"].rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
         return F.struct(x["start"].alias("start"), F.lit(place).alias("ord"), x["end"].alias("end"), F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score"), F.lit(kind.name in BASE).alias("base"))
 
     good = F.filter(_matches(text, kind), lambda x: _confirmed(kind.name, x["match"]))
@@ -122,7 +142,8 @@ def pii_report(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """docs with each span of personal data in text replaced by its kind in brackets. Spans that overlap an earlier one are covered by that."""
+    """docs with each span of personal data in text replaced by its kind in brackets. A span that overlaps an earlier one is covered by
+    that; what of it goes on beyond is left out too. A null text stays null."""
     spans = pii_spans(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

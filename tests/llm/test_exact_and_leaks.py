@@ -43,6 +43,25 @@ def test_pii_methods_add_and_redact(spark):
     assert "123-45-6788" in pii.redact(df).first()["text"] and "[iban]" in pii.redact(df).first()["text"]
 
 
+def test_context_counts_on_both_sides(spark):
+    texts = ["123-45-6789 is my ssn", "ssn 123-45-6789", "123-45-6789 alone", "ssn " + "x" * 60 + " 123-45-6789", "123-45-6789 " + "x" * 60 + " ssn", "123-45-6789, 234-56-7890 (social security)", "é 123-45-6789\n ssn"]
+    got = [r["spans"] for r in pii.pii_report(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).orderBy("doc_id").collect()]
+    assert got == ["national_id:0:11", "national_id:4:15", "", "", "", "national_id:13:24", "national_id:2:13"]
+
+
+def test_redaction(spark):
+    card = "4111 1111 1111 1111"
+    rows = [(1, None), (2, ""), (3, f"a +{card} b@c.de z"), (4, "x" * 10)]
+    got = {r["doc_id"]: r["text"] for r in pii.redact(spark.createDataFrame(rows, SCHEMA).withColumn("personal_data", F.lit(1))).collect()}
+    assert got[1] is None and got[2] == "" and got[4] == "x" * 10 and got[3] == "a +[card] [email] z"
+
+
+def test_many_matches_in_one_text(spark):
+    text = "mail a1@b.cd, " * 30_000
+    got = pii.pii_report(spark.createDataFrame([(1, text)], SCHEMA)).first()
+    assert got["n_email"] == 30_000 and got["base_sha256"] == brute.base_pii([(1, text)])[0][-1]
+
+
 def test_contamination_matches_brute_force(spark, docs):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     want = brute.leaks(ROWS, BENCH)
