@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from siltstone.llm.common import ascii_lower, stored
 
 WINDOW = 10
-#: The probe table is broadcast up to so many windows; beyond, documents meet it in a shuffled join.
-BROADCAST_WINDOWS = 100_000
+#: The probe table is broadcast up to so many windows and bytes of their words; beyond, documents meet it in a shuffled join.
+BROADCAST_WINDOWS, BROADCAST_BYTES = 100_000, 16_000_000
+#: Bits of the filter that keeps words without any prefix out of that join: 2 MB, whatever the number of windows.
+FILTER_BITS = 1 << 24
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -33,38 +34,66 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _with_prefix(windows: DataFrame, docs: DataFrame, few: bool) -> DataFrame:
-    """Adds prefix, the rarest word of each window, and off, its first place there. Rarity counts all documents; ties go by the word."""
+    """(id, win, len, prefix, off): the rarest word of each window, and its first place there. Rarity counts all documents; ties go by the word."""
     vocabulary = windows.select(F.explode("win").alias("word")).distinct()
     seen = docs.select(F.explode(words(F.col("text"))).alias("word"))
     kept = seen.join(F.broadcast(vocabulary) if few else vocabulary, "word", "left_semi")
-    rarity = kept.groupBy("word").agg(F.count("*").alias("n"))
-    each = windows.select("win", "items", F.posexplode("win").alias("off", "word")).join(rarity, "word", "left")
-    first = F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")), "word", "off"))
-    return each.groupBy("win").agg(first.alias("p"), F.first("items").alias("items")).select(
-        "win", F.size("win").alias("len"), F.col("p.word").alias("prefix"), F.col("p.off").alias("off"), "items")
+    # Written, as adaptive execution doesn't split a join that shares its stage with an aggregate; a word can be in most windows.
+    rarity = stored(kept.groupBy("word").agg(F.count("*").alias("n")), "rarity")
+    each = windows.select("id", F.posexplode("win").alias("off", "word")).join(rarity, "word", "left")
+    first = each.groupBy("id").agg(F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")), "word", "off")).alias("p"))
+    return windows.select("id", "win").join(first, "id").select("id", "win", F.size("win").alias("len"), F.col("p.word").alias("prefix"), F.col("p.off").alias("off"))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(doc_id, key, start, len, items) of each occurrence of an item window in a document; start counts words from 0.
-    key is a fingerprint of the text, which tells rows with one doc_id apart."""
-    windows = stored(item_windows(benchmark, window), "windows")
-    few = windows.limit(broadcast_windows + 1).count() <= broadcast_windows
-    probe = stored(_with_prefix(windows, docs, few), "probe")
+def _filter_bit(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(FILTER_BITS))
+
+
+def _prefix_filter(probe: DataFrame) -> DataFrame:
+    """One row with an array of FILTER_BITS / 64 numbers: the bits of all prefix words."""
+    bit = _filter_bit(F.col("prefix"))
+    bits = probe.select(F.floor(bit / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("id").agg(F.bit_or("b").alias("b"))
+    every = probe.sparkSession.range(FILTER_BITS // 64).join(bits, "id", "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))), lambda x: x["b"]).alias("bits"))
+
+
+def _prepared(docs: DataFrame, benchmark: DataFrame, window: int, broadcast_windows: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Written windows (id, win, items) and their probe table, and whether it may be broadcast."""
+    windows = stored(item_windows(benchmark, window).withColumn("id", F.monotonically_increasing_id()), "windows")
+    size = windows.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.array_join("win", " "))).alias("bytes")).first()
+    few = size["n"] <= broadcast_windows and (size["bytes"] or 0) <= BROADCAST_BYTES
+    return windows, stored(_with_prefix(windows, docs, few), "probe"), few
+
+
+def _probed(docs: DataFrame, probe: DataFrame, few: bool, window: int) -> DataFrame:
+    """(doc_id, key, n_words, start, len, id): a row for each document, which has n_words, and one for each occurrence of a window."""
     d = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), words(F.col("text")).alias("w"))
     start = F.col("pos") - F.col("off")
+    fits = (F.col("word") == F.col("prefix")) & (start >= 0)
+    none = [F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("len"), F.lit(None).cast("long").alias("id")]
     if few:
-        each = d.select("doc_id", "key", "w", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
-        met = each.join(F.broadcast(probe), (F.col("word") == F.col("prefix")) & (start >= 0) & (start + F.col("len") <= F.col("n"))
-                        & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("len")) == F.col("win")))
-    else:
-        # Rows shuffled by word carry the words around it only, so their size has a bound.
-        place = F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("pos"), F.least(i, F.lit(window - 1)).alias("left"),
-                                                       F.slice("w", F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)) + window).alias("near")))
-        each = d.select("doc_id", "key", F.size("w").alias("n"), F.inline(place))
-        inner = F.col("left") - F.col("off")
-        met = each.join(probe, (F.col("word") == F.col("prefix")) & (start >= 0) & (start + F.col("len") <= F.col("n"))
-                        & (F.slice("near", F.greatest(inner, F.lit(0)) + 1, F.col("len")) == F.col("win")))
-    return met.select("doc_id", "key", start.alias("start"), "len", "items")
+        # The word null before all others stands for the document itself, so that one walk gives both kinds of rows.
+        each = d.select("doc_id", "key", "w", F.posexplode(F.concat(F.array(F.lit(None).cast("string")), F.col("w"))).alias("place", "word")).withColumn("pos", F.col("place") - 1)
+        good = fits & (start + F.col("len") <= F.size("w")) & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("len")) == F.col("win"))
+        met = each.join(F.broadcast(probe), good, "left").where((F.col("place") == 0) | F.col("id").isNotNull())
+        return met.select("doc_id", "key", F.when(F.col("place") == 0, F.size("w")).cast("long").alias("n_words"), start.alias("start"), "len", "id")
+    # Rows shuffled by word carry the words around it only, so their size has a bound; words that are no prefix stay where they are.
+    place = F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("pos"), F.least(i, F.lit(window - 1)).alias("left"),
+                                                   F.slice("w", F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)) + window).alias("near")))
+    bit = _filter_bit(F.col("word"))
+    likely = F.call_function("getbit", F.get("bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+    each = d.select("doc_id", "key", F.size("w").alias("n"), F.inline(place)).join(F.broadcast(_prefix_filter(probe))).where(likely).drop("bits")
+    inner = F.col("left") - F.col("off")
+    met = each.join(probe, fits & (start + F.col("len") <= F.col("n")) & (F.slice("near", F.greatest(inner, F.lit(0)) + 1, F.col("len")) == F.col("win")))
+    found = met.select("doc_id", "key", F.lit(None).cast("long").alias("n_words"), start.alias("start"), "len", "id")
+    return d.select("doc_id", "key", F.size("w").cast("long").alias("n_words"), *none).unionByName(found)
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """(doc_id, key, start, len, items) of each occurrence of an item window in a document; start counts words from 0.
+    key is a fingerprint of the text, which tells rows with one doc_id apart."""
+    windows, probe, few = _prepared(docs, benchmark, window, broadcast_windows)
+    return _probed(docs, probe, few, window).where("id IS NOT NULL").join(windows.select("id", "items"), "id").select("doc_id", "key", "start", "len", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -75,18 +104,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
     each by its own text. With an empty benchmark nothing is hit; empty docs give an empty result. Only
     doc_id, item_id and text are read.
     """
-    found = hits(docs, benchmark, window=window, broadcast_windows=broadcast_windows)
-    per = found.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end"))).alias("spans"), F.collect_set("items").alias("sets"))
+    windows, probe, few = _prepared(docs, benchmark, window, broadcast_windows)
+    span = F.when(F.col("id").isNotNull(), F.struct("start", (F.col("start") + F.col("len")).alias("end")))
+    per = _probed(docs, probe, few, window).groupBy("doc_id", "key").agg(F.count("n_words").alias("copies"), F.max("n_words").alias("n_words"), F.collect_set(span).alias("spans"), F.collect_set("id").alias("ids"))
     covered = F.aggregate(F.array_sort("spans"), F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),
                           lambda a, x: F.struct((a["n"] + F.greatest(x["end"] - F.greatest(x["start"], a["to"]), F.lit(0))).alias("n"), F.greatest(a["to"], x["end"]).alias("to")), lambda a: a["n"])
-    items = F.array_sort(F.array_distinct(F.flatten("sets")))
-    per = per.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), covered.cast("long").alias("hit"), items.alias("ids"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", F.xxhash64(text).alias("key"), F.size(F.regexp_extract_all(text, F.lit(_ANY_CASE), F.lit(0))).cast("long").alias("n_words"))
-    out = base.join(per, base["doc_id"].eqNullSafe(per["_doc"]) & (base["key"] == per["_key"]), "left")
-    n_hit = F.coalesce("hit", F.lit(0).cast("long"))
-    ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    per = stored(per.select("doc_id", "key", "copies", "n_words", covered.cast("long").alias("n_hit"), "ids"), "judged")
+    named = per.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), F.explode("ids").alias("id")).join(windows.select("id", "items"), "id")
+    named = named.groupBy("_doc", "_key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    out = per.join(named, per["doc_id"].eqNullSafe(named["_doc"]) & (per["key"] == named["_key"]), "left")
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    out = out.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"))
+    return out.drop("_copy")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
