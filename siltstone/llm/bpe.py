@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import bounded
+
 #: Pre-tokens in each of the two generations of a worker's memo, and rows of a batch sent back at once.
 MEMO_ENTRIES, BATCH_ROWS, LONG_TEXT = 400_000, 256, 1 << 20
 
@@ -160,11 +162,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(content.value, pattern)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                ids = [own.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])
+        for batch in bounded(batches, 1, BATCH_ROWS):
+            ids = [own.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 

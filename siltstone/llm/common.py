@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.engine import stored
 
-__all__ = ["ascii_lower", "shuffle_width", "stored", "table"]
+__all__ = ["ascii_lower", "bounded", "shuffle_width", "stored", "table"]
 
 #: ASCII letters; ``lower`` alone would also fold letters beyond ASCII.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,3 +29,16 @@ def ascii_lower(text: Column) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with at most so many rows and bytes of a text column, unless one text alone has more. Null texts have none."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)).cast(pa.int64()), 0)).to_pylist()
+        at, before = 0, 0
+        for i, end in enumerate(ends):
+            if i > at and (i - at >= rows or end - before > size):
+                yield batch.slice(at, i - at)
+                at, before = i, ends[i - 1]
+        if at < batch.num_rows:
+            yield batch.slice(at)

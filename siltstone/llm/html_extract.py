@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import bounded
 from siltstone.llm.html_blocks import Block, leaf_blocks
 
 #: Pages that the generator writes for fitting, passes over them, step size, weight of the L2 penalty.
@@ -214,11 +215,9 @@ def extract_pages(pages: DataFrame, field: Field | None = None) -> DataFrame:
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                texts = [model.main_text(h) for h in batch.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+        for batch in bounded(batches, 2, BATCH_ROWS):
+            texts = [model.main_text(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
 

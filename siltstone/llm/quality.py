@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import bounded
 from siltstone.llm.labelled import SAMPLE_ROWS, drawn, held_out, training_labels
 
 #: Ids of the held-out part, and the score from which a document counts as good.
@@ -138,11 +139,9 @@ def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.select("doc_id", F.lit(0.5).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                x = np.array([features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, N_FEATURES)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], ["doc_id", "score"])
+        for batch in bounded(batches, 1, BATCH_ROWS):
+            x = np.array([features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, N_FEATURES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.score(x), pa.float64())], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
 
@@ -165,10 +164,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     place = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                x = np.array([features(t or "") for t in batch.column(place).to_pylist()]).reshape(-1, N_FEATURES)
-                yield batch.filter(pa.array(model.score(x) >= LEAST_SCORE))
+        for batch in bounded(batches, place, BATCH_ROWS):
+            x = np.array([features(t or "") for t in batch.column(place).to_pylist()]).reshape(-1, N_FEATURES)
+            yield batch.filter(pa.array(model.score(x) >= LEAST_SCORE))
 
     return docs.mapInArrow(run, schema)

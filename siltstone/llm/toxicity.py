@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import bounded
 from siltstone.llm.labelled import SAMPLE_ROWS, drawn, held_out, training_labels
 
 PARTS, PART, LEAST_SCORE = 3, 1, 0.7
@@ -175,12 +176,10 @@ def judge_documents(docs: DataFrame, model: Model | None) -> DataFrame:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_ROWS):
-                batch = whole.slice(at, BATCH_ROWS)
-                got = [model.judged(t or "") for t in batch.column(1).to_pylist()]
-                rows = [[{"start": a, "end": b, "score": p} for a, b, p in spans] for _, spans in got]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in got], pa.float64()), pa.array(rows, span)], ["doc_id", "score", "spans"])
+        for batch in bounded(batches, 1, BATCH_ROWS):
+            got = [model.judged(t or "") for t in batch.column(1).to_pylist()]
+            rows = [[{"start": a, "end": b, "score": p} for a, b, p in spans] for _, spans in got]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s for s, _ in got], pa.float64()), pa.array(rows, span)], ["doc_id", "score", "spans"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, spans {ddl}")
 

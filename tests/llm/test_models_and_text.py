@@ -144,3 +144,19 @@ def test_html_pages(spark):
 def test_blocks_survive_broken_markup():
     for page in ("<" * 5000, "<p title=\"" + "a" * 5000, "</div>" * 3000, "<svg>" * 20_000, "<option>" * 20_000, "<select>" * 20_000, "<b>" * 3000 + "x", "<!-- open", "<script>never closed"):
         html_blocks.leaf_blocks(page)
+
+
+def test_batches_are_bounded_by_rows_and_bytes():
+    import pyarrow as pa
+
+    from siltstone.llm.common import bounded
+
+    texts = ["a" * n for n in (3, 3, 3, 50, 1, 0, 9, 9, 1)] + [None, None, None, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["i", "t"])
+    cut = list(bounded(iter([batch, batch.slice(0, 0)]), 1, 3, 10))
+    assert [b.column(0).to_pylist() for b in cut] == [[0, 1, 2], [3], [4, 5, 6], [7, 8, 9], [10, 11, 12]]
+
+
+def test_bpe_of_no_documents(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert bpe.digests(bpe.encode_documents(none, VOCABULARY, public_tokenizers.PATTERN)).collect() == []
