@@ -1,13 +1,21 @@
-"""Repeated passages by recompression: words that a window of another document holds too are removed.
-
-Each task recompresses the documents of a batch and names all their windows. Windows go, packed and sorted by
-name, to buckets of the name's leading bits; a bucket holds the least doc_id of each name and answers each
-document that has a later copy with the names of its repeated windows. Answers travel in one row for each bucket
-and each part of the documents; documents meet them there and drop the words that these windows cover. Within a batch a name is sent once, so a passage that
-many documents share costs its bucket one entry for each batch, not for each document.
-
-Names have 64 bits and a check of 8 more from a second hash must agree. Two different windows pass as equal with
-a chance of 2^-72, about one window in 200 million at 100 TB.
+"""Repeated passages by recompression: words that a window of an earlier document holds too are removed.
+
+1. Tasks recompress documents; names of runs and pairs are the same everywhere. A first round over all documents brings
+   equal names together, in buckets of names: low symbols (two or three words) that only one document has, and long
+   symbols (13 words to whole documents) of which a smaller doc_id has an equal one. Equal means the name, which stands
+   for its whole derivation, and a hash of the words from second hashes.
+2. The answers meet the documents. A long symbol that an earlier document has too is a repeat by itself, edges
+   excepted. No window repeats that holds a low symbol of one document only, together with the words that this symbol
+   depends on. The windows left are at the edges of long repeats, in short ones, and in the first documents that hold
+   something repeated; a second round brings these windows together and answers with places.
+3. Documents drop the words of all places.
+
+Copies and long passages thus travel as a few long symbols, and text that repeats nothing as low symbols alone. Within
+a batch a name is sent once, so what many documents share costs its bucket one entry for each batch.
+
+Windows are compared by a 64-bit hash and 32 bits of an independent one, long symbols by 64-bit names and 32 bits
+of a hash of their words; at 100 TB, some 10^13 windows, no two different ones are likely to agree in both (a chance of about
+one in a thousand in all). Low symbols only say what needn't be compared, so there a shorter name does.
 """
 
 from __future__ import annotations
@@ -16,168 +24,354 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import shuffle_width
-from siltstone.llm.recompression import window_names
-from siltstone.llm.words import split_words, word_hashes
+from siltstone.llm.common import bounded, shuffle_width
+from siltstone.llm.recompression import Contents, long_symbols, low_symbols
+from siltstone.llm.words import mixed, split_words, word_hashes
 
 WINDOW = 13
-#: Documents of a batch, at most 256 so that a byte numbers them, and words, unless one document has more; bytes of text for a bucket.
-BATCH_DOCUMENTS, BATCH_WORDS, BUCKET_BYTES = 256, 400_000, 12_000_000
+#: Bytes of text of a batch and documents of one, unless one document has more; bytes of text for a bucket; bytes of a low symbol's name.
+BATCH_BYTES, BATCH_DOCUMENTS, BUCKET_BYTES, LOW_BYTES = 3_000_000, 8192, 12_000_000, 6
 
-_ANSWER = np.dtype([("name", "<u8"), ("check", "u1")])  # all that windows are compared by
+_LOW, _LONG, _LOW_KNOWN, _LONG_KNOWN = 0, 1, 2, 3
+_ENTRY = np.dtype([("name", "<u8"), ("check", "<u4")])
+_SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
+_SENT = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
+_DEALT = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary())])
+_STRIPPED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
 
-def _windows(words: list[list[bytes]], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(name, check, document) of all windows of the documents."""
-    sizes = np.array([len(w) for w in words])
-    doc = np.repeat(np.arange(len(words)), sizes)
-    symbols = np.concatenate([word_hashes()(w) for w in words]) if len(words) else np.zeros(0, np.uint64)
-    ends = np.cumsum(sizes)
-    start = np.flatnonzero(np.arange(len(symbols)) + window <= np.repeat(ends, sizes))
-    name, check = window_names(symbols, doc, start, window)
-    return name, check >> np.uint64(56), doc[start]
+class Batch:
+    """Documents side by side: their ids and keys (a hash of the text, which tells rows with one id apart), words, hashes and symbols."""
 
+    def __init__(self, ids: list[int], keys: list[int], texts: list[str]):
+        self.ids, self.keys = np.array(ids, np.int64), np.array(keys, np.int64)
+        self.words = [split_words(t) for t in texts]
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.first = np.append(0, np.cumsum(sizes))
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.one, self.two = word_hashes().pairs([w for d in self.words for w in d])
+        self.contents = Contents(self.two)
 
-def _answers(name: np.ndarray, check: np.ndarray) -> bytes:
-    out = np.empty(len(name), _ANSWER)
-    out["name"], out["check"] = name, check
-    return out.tobytes()
+    def symbols(self, window: int):
+        low = low_symbols(self.one, self.doc)
+        name, doc, start, end = long_symbols(low, window)
+        return low, _short(low.name), name, self.check(start, end), doc, start, end
 
+    def check(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return (self.contents.of(start, end) >> np.uint64(32)).astype(np.uint32)
+
+    def window_names(self, start: np.ndarray, window: int) -> np.ndarray:
+        out = np.zeros(len(start), np.uint64)
+        for i in range(window):
+            out = mixed(out + self.one[start + i] + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        return out
+
+
+def _short(name: np.ndarray) -> np.ndarray:
+    return name >> np.uint64(64 - 8 * LOW_BYTES)
+
+
+def _planes(name: np.ndarray, width: int) -> bytes:
+    """Sorted names as byte planes of their differences, which compress well."""
+    gaps = np.diff(name, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return np.ascontiguousarray(gaps.T).tobytes()
+
+
+def _unplanes(raw: bytes, n: int, width: int) -> np.ndarray:
+    planes = np.zeros((8, n), np.uint8)
+    planes[:width] = np.frombuffer(raw, np.uint8, width * n).reshape(width, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _part(ids: np.ndarray, parts: int) -> np.ndarray:
+    """Where a document and its answers meet: a hash of the id."""
+    return (mixed(ids.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) % np.uint64(parts)).astype(np.int64)
+
+
+def _buckets_of(name: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """A name's bucket by its leading bits, so that sorted names are sorted by bucket."""
+    return ((name >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _owners(fresh: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For entries sorted by what they are and then by document: the first document of each one's group."""
+    return doc[np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))] if len(doc) else doc
 
-def _packed(name: np.ndarray, check: np.ndarray, doc: np.ndarray) -> bytes:
-    """Sorted names as byte planes of their differences, then checks and document numbers."""
-    gaps = np.diff(name, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
-    planes = np.ascontiguousarray(gaps.T)
-    return planes.tobytes() + check.astype(np.uint8).tobytes() + doc.astype(np.uint8).tobytes()
-
-
-def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(raw) // 10
-    planes = np.frombuffer(raw, np.uint8, 8 * n).reshape(8, n)
-    name = np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
-    return name, np.frombuffer(raw, np.uint8, n, 8 * n), np.frombuffer(raw, np.uint8, n, 9 * n)
-
-
-def _sent(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, bucket, ids, payload): kind 0 for windows by bucket of their names, kind 1 for answers known within the batch."""
-    bits = np.uint64(64 - 20)
-    for ids, texts in _batches(batches):
-        name, check, at = _windows([split_words(t) for t in texts], window)
-        doc = np.array(ids, np.int64)
-        order = np.lexsort((doc[at], check, name))
-        name, check, at = name[order], check[order], at[order]
-        fresh = np.ones(len(name), bool)
-        fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
-        owner = doc[at[np.maximum.accumulate(np.where(fresh, np.arange(len(name)), 0))]] if len(name) else doc[:0]
-        later = doc[at] > owner
-        kind, bucket, own, payload = [], [], [], []
-        if later.any():
-            for i in np.unique(at[later]):
-                kind.append(1)
-                bucket.append(int(ids[i]) % buckets)
-                own.append([int(ids[i])])
-                n, c = name[later & (at == i)], check[later & (at == i)]
-                first = np.ones(len(n), bool)
-                first[1:] = (n[1:] != n[:-1]) | (c[1:] != c[:-1])
-                payload.append(_answers(n[first], c[first]))
-        name, check, at = name[fresh], check[fresh], at[fresh]
-        part = ((name >> bits).astype(np.int64) * buckets) >> 20
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(name)]])):
-            if a < b:
-                kind.append(0)
-                bucket.append(int(part[a]))
-                used, short = np.unique(at[a:b], return_inverse=True)
-                own.append([int(ids[i]) for i in used])
-                payload.append(_packed(name[a:b], check[a:b], short))
-        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), pa.array(own, pa.list_(pa.int64())), pa.array(payload, pa.binary())], ["kind", "bucket", "ids", "payload"])
-
-
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
-    ids: list[int] = []
-    texts: list[str] = []
-    room = BATCH_WORDS * 6
-    for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_DOCUMENTS):
-            part = batch.slice(at, BATCH_DOCUMENTS)
-            for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                if ids and (len(ids) >= BATCH_DOCUMENTS or room < len(t)):
-                    yield ids, texts
-                    ids, texts, room = [], [], BATCH_WORDS * 6
-                ids.append(d)
-                texts.append(t)
-                room -= len(t)
-    if ids:
-        yield ids, texts
 
+def _groups(*columns: np.ndarray) -> np.ndarray:
+    fresh = np.ones(len(columns[0]), bool)
+    if len(fresh):
+        fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return fresh
 
-def _part(ids: np.ndarray, buckets: int) -> np.ndarray:
-    """Where a document's text and its answers meet."""
-    return (ids & (2**62 - 1)) % buckets
 
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) of each run of equal values."""
+    if not len(values):
+        return []
+    cuts = np.flatnonzero(np.diff(values)) + 1
+    return list(zip(np.append(0, cuts).tolist(), np.append(cuts, len(values)).tolist()))
 
-def _dealt(ids: np.ndarray, names: list[bytes], buckets: int) -> pa.Table:
-    """One row for each part that has answers: the ids, the bytes of names of each, and the names, end to end."""
-    part, out = _part(ids, buckets), []
+
+def _entries(name: np.ndarray, check: np.ndarray) -> bytes:
+    out = np.empty(len(name), _ENTRY)
+    out["name"], out["check"] = name, check
+    return out.tobytes()
+
+
+def _table(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _sent_symbols(batch: Batch, window: int, buckets: int) -> list[tuple]:
+    """Rows for the first round: symbols by bucket, and what the batch knows by itself, by part."""
+    low, short, name, check, doc, _, _ = batch.symbols(window)
+    part, rows = _part(batch.ids, buckets), []
+
+    def known(kind: int, who: np.ndarray, payload) -> None:
+        order = np.argsort(who, kind="stable")
+        for a, b in _runs(who[order]):
+            i = int(who[order[a]])
+            rows.append((kind, int(part[i]), [int(batch.ids[i])], [], payload(order[a:b])))
+
+    order = np.lexsort((low.doc, short))
+    order = order[_groups(short[order], low.doc[order])]
+    x, d = short[order], low.doc[order]
+    fresh = _groups(x)
+    ids = batch.ids[d]
+    begin = np.flatnonzero(fresh)
+    if len(begin):
+        many = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[np.cumsum(fresh) - 1]
+        known(_LOW_KNOWN, d[many], lambda at, x=x[many]: x[at].astype("<u8").tobytes())
+        x, d = x[fresh], d[fresh]
+        bucket = _buckets_of(x, 8 * LOW_BYTES, buckets)
+        for a, b in _runs(bucket):
+            used, local = np.unique(d[a:b], return_inverse=True)
+            rows.append((_LOW, int(bucket[a]), batch.ids[used].tolist(), [], _planes(x[a:b], LOW_BYTES) + local.astype("<u2").tobytes()))
+
+    order = np.lexsort((batch.ids[doc], check, name))
+    x, c, d = name[order], check[order], doc[order]
+    fresh = _groups(x, c)
+    later = batch.ids[d] > _owners(fresh, batch.ids[d])
+    known(_LONG_KNOWN, d[later], lambda at, x=x[later], c=c[later]: _entries(x[at], c[at]))
+    x, c, d = x[fresh], c[fresh], d[fresh]
+    bucket = _buckets_of(x, 64, buckets)
+    for a, b in _runs(bucket):
+        used, local = np.unique(d[a:b], return_inverse=True)
+        rows.append((_LONG, int(bucket[a]), batch.ids[used].tolist(), [], _planes(x[a:b], 8) + c[a:b].astype("<u4").tobytes() + local.astype("<u2").tobytes()))
+    return rows
+
+
+def _dealt(kind: int, ids: np.ndarray, keys: np.ndarray, payload: list[bytes], parts: int) -> list[tuple]:
+    """One row for each part that has answers: ids, keys, the bytes of each, and the answers, end to end."""
+    part, rows = _part(ids, parts), []
     order = np.argsort(part, kind="stable")
-    for own in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else []:
-        out.append((int(part[own[0]]), ids[own].tolist(), [len(names[i]) for i in own], b"".join(names[i] for i in own)))
-    parts, docs, sizes, raw = zip(*out) if out else ((), (), (), ())
-    return pa.table({"part": pa.array(parts, pa.int32()), "ids": pa.array(docs, pa.list_(pa.int64())), "sizes": pa.array(sizes, pa.list_(pa.int32())), "names": pa.array(raw, pa.binary())})
-
-
-def _answered(rows: pa.Table, buckets: int) -> pa.Table:
-    """(part, ids, sizes, names): of a bucket's windows those that a smaller doc_id has too. Answers from within a batch are only dealt."""
-    if not rows.num_rows:
-        return _dealt(np.zeros(0, np.int64), [], buckets)
-    if rows.column("kind")[0].as_py() == 1:
-        ids = np.array([x[0] for x in rows.column("ids").to_pylist()], np.int64)
-        return _dealt(ids, rows.column("payload").to_pylist(), buckets)
-    name, check, doc = [], [], []
-    for ids, raw in zip(rows.column("ids").to_pylist(), rows.column("payload")):
-        n, c, d = _unpacked(raw.as_py())
-        name.append(n)
-        check.append(c)
-        doc.append(np.array(ids, np.int64)[d])
-    name, check, doc = map(np.concatenate, (name, check, doc))
-    order = np.argsort(name, kind="stable")
-    twice = np.zeros(len(name), bool)
-    s = name[order]
-    twice[1:] = s[1:] == s[:-1]
-    twice[:-1] |= twice[1:]
-    order = order[twice]
-    name, check, doc = name[order], check[order], doc[order]
+    for a, b in _runs(part[order]):
+        own = order[a:b]
+        rows.append((int(part[own[0]]), kind, ids[own].tolist(), keys[own].tolist() if len(keys) else [], [len(payload[i]) for i in own], b"".join(payload[i] for i in own)))
+    return rows
+
+
+def _passed_on(rows: pa.Table, kind: int, parts: int) -> list[tuple]:
+    """Rows that are answers already."""
+    ids, keys = (np.array([x[0] for x in rows.column(c).to_pylist() if x], np.int64) for c in ("ids", "keys"))
+    return _dealt(kind, ids, keys, rows.column("payload").to_pylist(), parts)
+
+
+def _answered_symbols(rows: pa.Table, parts: int) -> list[tuple]:
+    """Of a bucket: low symbols that two documents have, to all of them; long symbols that a smaller doc_id has, to the others."""
+    kind = rows.column("kind")[0].as_py()
+    if kind in (_LOW_KNOWN, _LONG_KNOWN):
+        return _passed_on(rows, kind - 2, parts)
+    names, checks, docs = [], [], []
+    for ids, raw in zip(rows.column("ids").to_pylist(), rows.column("payload").to_pylist()):
+        width = LOW_BYTES if kind == _LOW else 8
+        n = len(raw) // (width + (2 if kind == _LOW else 6))
+        names.append(_unplanes(raw, n, width))
+        checks.append(np.frombuffer(raw, "<u4", n, width * n) if kind == _LONG else np.zeros(n, np.uint32))
+        docs.append(np.array(ids, np.int64)[np.frombuffer(raw, "<u2", n, len(raw) - 2 * n)])
+    name, check, doc = map(np.concatenate, (names, checks, docs))
     order = np.lexsort((doc, check, name))
     name, check, doc = name[order], check[order], doc[order]
-    fresh = np.ones(len(name), bool)
-    fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
-    owner = doc[np.maximum.accumulate(np.where(fresh, np.arange(len(name)), 0))]
-    gone = doc > owner
-    name, check, doc = name[gone], check[gone], doc[gone]
+    fresh = _groups(name, check)
+    if kind == _LOW:
+        begin = np.flatnonzero(fresh)
+        told = (np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin))[np.cumsum(fresh) - 1]
+    else:
+        told = doc > _owners(fresh, doc)
+    name, check, doc = name[told], check[told], doc[told]
     order = np.argsort(doc, kind="stable")
     name, check, doc = name[order], check[order], doc[order]
-    ids, at = np.unique(doc, return_index=True)
-    ends = np.append(at[1:], len(doc))
-    return _dealt(ids, [_answers(name[a:b], check[a:b]) for a, b in zip(at, ends)], buckets)
+    runs = _runs(doc)
+    payload = [name[a:b].astype("<u8").tobytes() if kind == _LOW else _entries(name[a:b], check[a:b]) for a, b in runs]
+    return _dealt(kind, doc[[a for a, _ in runs]] if runs else doc, doc[:0], payload, parts)
+
+
+def _covered(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in any of the ranges."""
+    steps = np.zeros(n + 1, np.int32)
+    np.add.at(steps, start, 1)
+    np.add.at(steps, end, -1)
+    return np.cumsum(steps)[:n] > 0
+
+
+def _keyed(name: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return mixed(name + mixed(doc.astype(np.uint64)))
+
+
+def _sent_windows(batch: Batch, answers: dict[int, dict[int, bytes]], window: int, buckets: int) -> list[tuple]:
+    """Rows for the second round: windows that may repeat, by bucket, and places that are known to be repeats, by part."""
+    low, short, name, check, doc, start, end = batch.symbols(window)
+    n, rows, part = len(batch.doc), [], _part(batch.ids, buckets)
+
+    def told(kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
+        mine = [answers.get(int(i), {}).get(kind, b"") for i in batch.ids]
+        size = np.dtype(dtype).itemsize
+        return np.repeat(np.arange(len(mine)), [len(x) // size for x in mine]), np.frombuffer(b"".join(mine), dtype)
+
+    who, names = told(_LOW, "<u8")
+    alone = ~np.isin(_keyed(short, low.doc), _keyed(names, who))
+    who, entries = told(_LONG, _ENTRY)
+    key = _keyed(entries["name"].astype(np.uint64), who)
+    order = np.argsort(key, kind="stable")
+    key, checks = key[order], entries["check"][order]
+    mine = _keyed(name, doc)
+    at = np.searchsorted(key, mine)
+    earlier = np.zeros(len(mine), bool)
+    for i in range(int(np.max(np.diff(np.append(np.flatnonzero(_groups(key)), len(key))), initial=0))):  # once, but for names that agree by chance
+        place = np.minimum(at + i, max(len(key) - 1, 0))
+        earlier |= (key[place] == mine) & (checks[place] == check)
+
+    whole = np.arange(n) + window <= batch.first[batch.doc + 1] if n else np.zeros(0, bool)
+    known = _covered(start[earlier], end[earlier] - window + 1, n)
+    tight = alone & (low.right - low.left <= window)
+    begin = np.maximum(low.right[tight] - window, 0)
+    dead = _covered(begin, np.maximum(low.left[tight] + 1, begin), n)
+    live = np.flatnonzero(whole & ~known & ~dead)
+
+    gone_start, gone_end, gone_doc = start[earlier], end[earlier], doc[earlier]
+    x = batch.window_names(live, window)
+    c = batch.check(live, live + window)
+    order = np.lexsort((live, batch.ids[batch.doc[live]], c, x))
+    x, c, live = x[order], c[order], live[order]
+    ids = batch.ids[batch.doc[live]]
+    later = ids > _owners(_groups(x, c), ids)
+    places = live[later]
+    gone_start, gone_end, gone_doc = (np.concatenate(p) for p in ((gone_start, places), (gone_end, places + window), (gone_doc, batch.doc[places])))
+    order = np.lexsort((gone_start, gone_doc))
+    gone_start, gone_end, gone_doc = gone_start[order], gone_end[order], gone_doc[order]
+    for a, b in _runs(gone_doc):
+        i = int(gone_doc[a])
+        rows.append((_LONG, int(part[i]), [int(batch.ids[i])], [int(batch.keys[i])], _spans(gone_start[a:b] - batch.first[i], gone_end[a:b] - batch.first[i])))
+    x, c, live = x[~later], c[~later], live[~later]
+    bucket = _buckets_of(x, 64, buckets)
+    for a, b in _runs(bucket):
+        d = batch.doc[live[a:b]]
+        used, local = np.unique(d, return_inverse=True)
+        payload = _planes(x[a:b], 8) + c[a:b].astype("<u4").tobytes() + (live[a:b] - batch.first[d]).astype("<u4").tobytes() + local.astype("<u2").tobytes()
+        rows.append((_LOW, int(bucket[a]), batch.ids[used].tolist(), batch.keys[used].tolist(), payload))
+    return rows
+
+
+def _spans(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Sorted ranges, those that touch joined."""
+    if not len(start):
+        return b""
+    reach = np.maximum.accumulate(end)
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = start[1:] > reach[:-1]
+    begin = np.flatnonzero(fresh)
+    out = np.empty(len(begin), _SPAN)
+    out["start"], out["end"] = start[begin], reach[np.append(begin[1:], len(reach)) - 1]
+    return out.tobytes()
+
+
+def _answered_windows(rows: pa.Table, window: int, parts: int) -> list[tuple]:
+    """Of a bucket the places of windows that a smaller doc_id has too."""
+    if rows.column("kind")[0].as_py() == _LONG:
+        return _passed_on(rows, 0, parts)
+    names, checks, docs, keys, places = [], [], [], [], []
+    for own, key, raw in zip(rows.column("ids").to_pylist(), rows.column("keys").to_pylist(), rows.column("payload").to_pylist()):
+        n = len(raw) // 18
+        local = np.frombuffer(raw, "<u2", n, 16 * n)
+        names.append(_unplanes(raw, n, 8))
+        checks.append(np.frombuffer(raw, "<u4", n, 8 * n))
+        places.append(np.frombuffer(raw, "<u4", n, 12 * n))
+        docs.append(np.array(own, np.int64)[local])
+        keys.append(np.array(key, np.int64)[local])
+    name, check, doc, key, place = map(np.concatenate, (names, checks, docs, keys, places))
+    order = np.lexsort((doc, check, name))
+    doc, key, place = doc[order], key[order], place[order].astype(np.int64)
+    gone = doc > _owners(_groups(name[order], check[order]), doc)
+    doc, key, place = doc[gone], key[gone], place[gone]
+    order = np.lexsort((place, key, doc))
+    doc, key, place = doc[order], key[order], place[order]
+    starts = np.flatnonzero(_groups(doc, key))
+    ends = np.append(starts[1:], len(doc))
+    return _dealt(0, doc[starts], key[starts], [_spans(place[a:b], place[a:b] + window) for a, b in zip(starts, ends)], parts)
 
 
-def _stripped(text: str, gone: np.ndarray, window: int) -> tuple[int, int, str]:
-    words = split_words(text)
-    covered = np.zeros(len(words) + 1, np.int64)
-    if len(gone) and len(words) >= window:
-        name, check, _ = _windows([words], window)
-        known = np.unique(gone["name"])
-        code = lambda n, c: np.searchsorted(known, n).astype(np.int64) << 8 | c.astype(np.int64)
-        start = np.flatnonzero(np.isin(name, known) & np.isin(code(name, check), code(gone["name"], gone["check"])))
-        np.add.at(covered, start, 1)
-        np.add.at(covered, start + window, -1)
-    keep = np.cumsum(covered)[:-1] == 0
-    return len(words), int((~keep).sum()), b" ".join([w for w, k in zip(words, keep.tolist()) if k]).decode()
+def _key(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _batches(rows: Iterator[tuple[int, str]]) -> Iterator[Batch]:
+    ids: list[int] = []
+    texts: list[str] = []
+    room = BATCH_BYTES
+    for i, t in rows:
+        if ids and (len(ids) >= BATCH_DOCUMENTS or room < len(t)):
+            yield Batch(ids, [_key(t) for t in texts], texts)
+            ids, texts, room = [], [], BATCH_BYTES
+        ids.append(i)
+        texts.append(t)
+        room -= len(t)
+    if ids:
+        yield Batch(ids, [_key(t) for t in texts], texts)
+
+
+def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """(part, texts): compressed slices of documents by part. Rows without doc_id have no answers to meet and go by a hash of the text."""
+    squeeze = zstandard.ZstdCompressor(level=1)
+    for batch in bounded(batches, 1, 10_000, BUCKET_BYTES):
+        ids = batch.column(0)
+        own = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)):
+            own = own.copy()
+            own[i] = _key(batch.column(1)[int(i)].as_py())
+        part, rows = _part(own, parts), []
+        order = np.argsort(part, kind="stable")
+        for a, b in _runs(part[order]):
+            some = batch.take(pa.array(order[a:b]))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, some.schema) as w:
+                w.write_batch(some)
+            rows.append((int(part[order[a]]), squeeze.compress(sink.getvalue().to_pybytes())))
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], ["part", "texts"])
+
+
+def _unpacked(texts: pa.Table) -> Iterator[tuple[int | None, str]]:
+    squeeze = zstandard.ZstdDecompressor()
+    for raw in texts.column("texts"):
+        with pa.ipc.open_stream(squeeze.decompress(raw.as_py())) as r:
+            for batch in r:
+                yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+
+def _pieces(answers: pa.Table) -> Iterator[tuple[int, int, int | None, bytes]]:
+    """(kind, id, key, answer) of each answer."""
+    for kind, ids, keys, sizes, raw in zip(*(answers.column(c).to_pylist() for c in ("kind", "ids", "keys", "sizes", "payload"))):
+        at = 0
+        for i, k, n in zip(ids, keys or [None] * len(ids), sizes):
+            yield kind, i, k, raw[at : at + n]
+            at += n
 
 
 def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
@@ -185,55 +379,57 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
 
     A null text has no words; a document of fewer words than the window keeps all. Rows that repeat a doc_id remove
     nothing from each other. Rows with a null doc_id keep all their words and remove none. An empty table gives an
-    empty result. doc_id must be an integer column; only doc_id and text are read.
+    empty result. Texts may have any length up to what one row of Arrow holds (2 GB); one text is handled by one task.
+    doc_id must be an integer column; only doc_id and text are read.
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(2 * shuffle_width(spark), -(-int(size) // BUCKET_BYTES))
-    if buckets >= 1 << 20:
-        buckets = (1 << 20) - 1
+    sent, dealt = "kind int, bucket int, ids array<long>, keys array<long>, payload binary", "part int, kind int, ids array<long>, keys array<long>, sizes array<long>, payload binary"
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sent(batches, window, buckets)
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _batches(row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+            yield _table(_SENT, _sent_symbols(batch, window, buckets))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _packed(batches, buckets)
 
     def answer(rows: pa.Table) -> pa.Table:
-        return _answered(rows, buckets)
+        return pa.Table.from_batches([_table(_DEALT, _answered_symbols(rows, buckets))])
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            part = _part(pa.compute.fill_null(batch.column(0), 0).to_numpy(zero_copy_only=False), buckets)
-            rows = []
-            for b in np.unique(part):
-                for at in range(0, len(own := np.flatnonzero(part == b)), BATCH_DOCUMENTS):
-                    some = batch.take(pa.array(own[at : at + BATCH_DOCUMENTS]))
-                    sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, some.schema) as w:
-                        w.write_batch(some)
-                    rows.append((int(b), squeeze.compress(sink.getvalue().to_pybytes())))
-            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([r for _, r in rows], pa.binary())], ["part", "texts"])
+    def windows(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        got: dict[int, dict[int, bytes]] = {}
+        for kind, i, _, raw in _pieces(answers):
+            mine = got.setdefault(i, {})
+            mine[kind] = mine.get(kind, b"") + raw
+        out = [_table(_SENT, _sent_windows(batch, got, window, buckets)) for batch in _batches(row for row in _unpacked(texts) if row[0] is not None)]
+        return pa.Table.from_batches(out, _SENT)
+
+    def place(rows: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_table(_DEALT, _answered_windows(rows, window, buckets))])
 
     def strip(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        got: dict[int, list[bytes]] = {}
-        for ids, sizes, raw in zip(answers.column("ids").to_pylist(), answers.column("sizes").to_pylist(), answers.column("names").to_pylist()):
-            at = 0
-            for i, n in zip(ids, sizes):
-                got.setdefault(i, []).append(raw[at : at + n])
-                at += n
+        got: dict[tuple[int, int | None], list[bytes]] = {}
+        for _, i, key, raw in _pieces(answers):
+            got.setdefault((i, key), []).append(raw)
         out = []
-        for raw in texts.column("texts"):
-            with pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(raw.as_py(), max_output_size=2**31)) as r:
-                for batch in r:
-                    for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                        out.append((i, *_stripped(t, np.frombuffer(b"".join(got.get(i, [])), _ANSWER), window)))
-        ids, n, gone, kept = zip(*out) if out else ((), (), (), ())
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n, pa.int64()), "n_removed": pa.array(gone, pa.int64()), "kept": pa.array(kept, pa.string())})
-
-    sent = d.where("doc_id IS NOT NULL").mapInArrow(send, "kind int, bucket int, ids array<long>, payload binary")
-    answers = sent.groupBy("kind", "bucket").applyInArrow(answer, "part int, ids array<long>, sizes array<int>, names binary")
+        for i, t in _unpacked(texts):
+            words = split_words(t)
+            mine = got.get((i, _key(t))) if got and i is not None else None
+            if mine:
+                spans = np.frombuffer(b"".join(mine), _SPAN)
+                gone = _covered(spans["start"].astype(np.int64), spans["end"].astype(np.int64), len(words)).tolist()
+                kept = [w for w, g in zip(words, gone) if not g]
+            else:
+                kept = words
+            out.append((i, len(words), len(words) - len(kept), b" ".join(kept).decode()))
+        return pa.Table.from_batches([_table(_STRIPPED, out)])
+
     texts = d.mapInArrow(pack, "part int, texts binary")
-    return texts.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
+    first = d.where("doc_id IS NOT NULL").mapInArrow(symbols, sent).groupBy("kind", "bucket").applyInArrow(answer, dealt)
+    second = texts.groupBy("part").cogroup(first.groupBy("part")).applyInArrow(windows, sent).groupBy("kind", "bucket").applyInArrow(place, dealt)
+    return texts.groupBy("part").cogroup(second.groupBy("part")).applyInArrow(strip, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def repeats_report(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:

@@ -27,24 +27,26 @@ def split_words(text: str | None, lower: bool = False) -> list[bytes]:
 
 
 class WordHashes:
-    """64-bit hashes of words; recent words are remembered."""
+    """Two independent 64-bit hashes of words; recent words are remembered."""
 
     def __init__(self, limit: int = MEMO_WORDS):
         self.limit, self.young, self.old = limit, {}, {}
 
-    def _new(self, word: bytes) -> int:
-        h = self.old.get(word)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(word)
+    def _new(self, word: bytes) -> bytes:
+        h = self.old.get(word) or xxhash.xxh3_128_digest(word)
         if len(word) <= 64:
             if len(self.young) >= self.limit:
                 self.old, self.young = self.young, {}
             self.young[word] = h
         return h
 
+    def pairs(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        known, new = self.young.get, self._new
+        both = np.frombuffer(b"".join([known(w) or new(w) for w in words]), np.uint64).reshape(-1, 2)
+        return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.young.get
-        return np.array([h if (h := known(w)) is not None else self._new(w) for w in words], dtype=np.uint64)
+        return self.pairs(words)[0]
 
 
 _OWN: list[WordHashes] = []

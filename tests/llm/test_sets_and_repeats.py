@@ -1,5 +1,8 @@
+import random
+
 import brute
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -61,30 +64,94 @@ def test_components(spark):
     assert sorted(tuple(r) for r in components(edges).collect()) == [(2, 1), (3, 1), (5, 4), (7, 1), (9, 1)]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 2), min_size=6, max_size=60), st.integers(2, 6))
-def test_window_names_are_equal_just_for_equal_windows(symbols, width):
-    x = np.array([0x9E3779B97F4A7C15 * (s + 1) % 2**64 for s in symbols], np.uint64)
-    start = np.arange(len(x) - width + 1)
-    name, _ = recompression.window_names(x, np.zeros(len(x), int), start, width)
-    for i in start:
-        for j in start:
-            assert (name[i] == name[j]) == (symbols[i : i + width] == symbols[j : j + width])
+def hashed(symbols):
+    return np.array([0x9E3779B97F4A7C15 * (x + 1) % 2**64 for x in symbols], np.uint64)
+
+
+words3 = st.lists(st.integers(0, 3), max_size=25)
+
+
+@settings(max_examples=150, deadline=None)
+@given(words3, words3, st.lists(st.integers(0, 5), min_size=8, max_size=16), words3, words3)
+def test_low_symbols_stand_wherever_their_words_do(before, after, inner, other_before, other_after):
+    def within(left, right):
+        x = hashed(left + inner + right)
+        s, at = recompression.low_symbols(x, np.zeros(len(x), int)), len(left)
+        return {(int(n), int(a) - at, int(b) - at, int(lo) - at, int(hi) - at) for n, a, b, lo, hi in zip(s.name, s.start, s.end, s.left, s.right)}
+
+    n = len(inner)
+    one, two = within(before, after), within(other_before, other_after)
+    assert {s for s in one if s[3] >= 0 and s[4] <= n} == {s for s in two if s[3] >= 0 and s[4] <= n}
+    assert sorted(i for _, a, b, _, _ in one for i in range(a, b)) == list(range(-len(before), n + len(after)))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=1, max_size=70), min_size=1, max_size=6))
+def test_long_symbols_are_equal_just_for_equal_words(docs):
+    x, g = hashed([w for d in docs for w in d]), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    flat = [w for d in docs for w in d]
+    name, doc, start, end = recompression.long_symbols(recompression.low_symbols(x, g), 3, 4, 2)
+    meaning = {}
+    for n, d, a, b in zip(name.tolist(), doc.tolist(), start.tolist(), end.tolist()):
+        assert (g[a:b] == d).all() and meaning.setdefault(n, flat[a:b]) == flat[a:b]
+    contents = recompression.Contents(x).of(start, end)
+    assert len(set(zip(name.tolist(), contents.tolist()))) == len(set(name.tolist()))
+    for i in range(len(docs)):
+        for j in range(i):
+            if docs[i] == docs[j] and len(docs[i]) >= 3:
+                assert name[doc == i].tolist() == name[doc == j].tolist() and (end - start)[doc == i].max() == len(docs[i])
 
 
 def test_repeats_match_brute_force(spark):
     w = " ".join(f"w{i}" for i in range(40))
     rows = [(1, None), (2, ""), (3, w), (4, w), (4, w), (5, "x " * 16), (6, "y " + "x " * 14 + "z"), (7, "x " * 12), (8, "pre " + w[4:60] + " " + w[8:90] + "\x0b\tzz"), (9, "x " * 13), (-3, w[:50]), (10, "é " * 30)]
-    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(0) for c in ("part", "names", "kind", "bucket")})
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(0) for c in ("part", "keys", "kind", "bucket")})
     assert rows_of(substring_dedup.repeats_report(docs)) == sorted(brute.repeats(rows), key=repr)
     assert substring_dedup.repeats_report(spark.createDataFrame([], SCHEMA)).collect() == []
     assert substring_dedup.repeats_report(spark.createDataFrame([(None, w), (1, w)], SCHEMA)).agg(F.sum("n_removed")).first()[0] == 0
 
 
-def test_answers_hold_the_whole_name_and_check():
-    words = [b"w%d" % i for i in range(5)]
-    name, check, _ = substring_dedup._windows([words], 5)
-    text = b" ".join(words).decode()
-    for n, c, removed in ((name, check, 5), (name ^ np.uint64(1 << 60), check, 0), (name, check ^ 1, 0)):
-        gone = np.frombuffer(substring_dedup._answers(n, c), substring_dedup._ANSWER)
-        assert substring_dedup._stripped(text, gone, 5)[1] == removed
+
+
+def repeating_rows(seed):
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(r.choice([1, 2, 3, 10, 200]))]
+    base = [[r.choice(vocabulary) for _ in range(r.randint(0, 120))] for _ in range(4)]
+    rows = []
+    for _ in range(r.randint(1, 25)):
+        words = []
+        for x in r.choices(base, k=r.randint(0, 4)):
+            a = r.randint(0, len(x))
+            words += x[a : r.randint(a, len(x))] + [f"u{r.random()}" for _ in range(r.choice((0, 0, 1, 3)))]
+        rows.append((r.randint(-3, 40), " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repeats_of_random_rows(spark, seed):
+    rows = [row for k in range(6) for row in repeating_rows(100 * seed + k)]
+    assert rows_of(substring_dedup.repeats_report(spark.createDataFrame(rows, SCHEMA).repartition(5))) == sorted(brute.repeats(rows), key=repr)
+
+
+def test_repeats_in_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BATCH_BYTES", 50_000)
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", 40_000)
+    r = random.Random(1)
+    long = [f"w{r.randint(0, 5000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long[:20_000])), (2, " ".join(long)), (3, " ".join(long[5_000:5_040])), (4, "For " * 30_000), (5, "For " * 20_000), (None, " ".join(long))]
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in substring_dedup.repeats_report(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (20_000, 0), 2: (60_000, 20_000), 3: (40, 40), 4: (30_000, 0), 5: (20_000, 20_000), None: (60_000, 0)}
+
+
+def test_windows_of_one_document_are_not_sent():
+    words = [f"v{i}" for i in range(400)]
+    batch = substring_dedup.Batch([1], [7], [" ".join(words)])
+    assert substring_dedup._sent_windows(batch, {}, 13, 4) == []
+    _, short, name, check, _, _, _ = batch.symbols(13)
+    shared = {1: {0: short.astype("<u8").tobytes()}}
+    assert sum(len(r[4]) // 18 for r in substring_dedup._sent_windows(batch, shared, 13, 4)) == 388
+    known = {1: {0: short.astype("<u8").tobytes(), 1: substring_dedup._entries(name, check)}}
+    rows = substring_dedup._sent_windows(batch, known, 13, 4)
+    assert [(r[0], np.frombuffer(r[4], substring_dedup._SPAN).tolist()) for r in rows] == [(1, [(0, 400)])]
+    wrong = {1: known[1] | {1: substring_dedup._entries(name, check ^ np.uint32(1))}}
+    assert all(r[0] == 0 for r in substring_dedup._sent_windows(batch, wrong, 13, 4))
