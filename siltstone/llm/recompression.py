@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from siltstone.llm.words import mixed
+from siltstone.llm.words import mixed, polynomials
 
 #: Rounds of pairs whose symbols are looked up everywhere; rounds until the first and between later levels of long symbols.
 LOW_ROUNDS, FIRST_LEVEL, LEVEL_STEP, MOST_ROUNDS = 3, 10, 4, 200
@@ -113,30 +113,9 @@ def long_symbols(low: Symbols, least: int, first: int = FIRST_LEVEL, step: int =
     return tuple(np.concatenate(p) for p in zip(*out))
 
 
-class Contents:
-    """64-bit hashes of what stands between two words, from second hashes of the words: a polynomial whose prefixes are summed once."""
+_CONTENT_BASE = 0x8EBC6AF09C88C6E3
 
-    _BASE = 0xD6E8FEB86659FD93
 
-    def __init__(self, words: np.ndarray):
-        n = len(words)
-        self.power, self.inverse = _powers(self._BASE, n), _powers(pow(self._BASE, -1, 1 << 64), n)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(words * self.power[:n], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
-
-
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """base to the 0, 1, ... n, modulo 2^64; kept by the worker."""
-    have = _POWERS.get(base)
-    if have is None or len(have) <= n:
-        have = np.full(max(n + 1, 1024), np.uint64(base % 2**64))
-        have[0] = 1
-        have = np.cumprod(have, dtype=np.uint64)
-        _POWERS[base] = have
-    return have
+def contents(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of what stands in ranges of words, from second hashes of the words."""
+    return mixed(polynomials(words, start, end, _CONTENT_BASE) + (end - start).astype(np.uint64))

@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import bounded, shuffle_width
-from siltstone.llm.recompression import Contents, long_symbols, low_symbols
-from siltstone.llm.words import mixed, split_words, word_hashes
+from siltstone.llm.recompression import contents, long_symbols, low_symbols
+from siltstone.llm.words import hashed_words, mixed, split_words
 
 WINDOW = 13
 #: Bytes of text of a batch and documents of one, unless one document has more; bytes of text for a bucket; bytes of a low symbol's name.
@@ -47,16 +47,15 @@ _STRIPPED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_remo
 
 
 class Batch:
-    """Documents side by side: their ids and keys (a hash of the text, which tells rows with one id apart), words, hashes and symbols."""
+    """Documents side by side: their ids and keys (a hash of the text, which tells rows with one id apart), and the hashes and documents of all words."""
 
     def __init__(self, ids: list[int], keys: list[int], texts: list[str]):
         self.ids, self.keys = np.array(ids, np.int64), np.array(keys, np.int64)
-        self.words = [split_words(t) for t in texts]
-        sizes = np.array([len(w) for w in self.words], np.int64)
-        self.first = np.append(0, np.cumsum(sizes))
-        self.doc = np.repeat(np.arange(len(sizes)), sizes)
-        self.one, self.two = word_hashes().pairs([w for d in self.words for w in d])
-        self.contents = Contents(self.two)
+        raw = [t.encode() for t in texts]
+        begin = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        place, self.one, self.two = hashed_words(b"\n".join(raw))
+        self.first = np.searchsorted(place, begin)
+        self.doc = np.repeat(np.arange(len(raw)), np.diff(self.first))
 
     def symbols(self, window: int):
         low = low_symbols(self.one, self.doc)
@@ -64,7 +63,7 @@ class Batch:
         return low, _short(low.name), name, self.check(start, end), doc, start, end
 
     def check(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.contents.of(start, end) >> np.uint64(32)).astype(np.uint32)
+        return (contents(self.two, start, end) >> np.uint64(32)).astype(np.uint32)
 
     def window_names(self, start: np.ndarray, window: int) -> np.ndarray:
         out = np.zeros(len(start), np.uint64)
