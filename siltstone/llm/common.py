@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from siltstone.engine import stored
 
-__all__ = ["ascii_lower", "bounded", "shuffle_width", "stored", "table"]
+__all__ = ["ascii_lower", "bounded", "filter_of", "may_be_in", "shuffle_width", "stored", "table"]
+
+#: Bits of a filter: 2 MB, whatever the number of values.
+FILTER_BITS = 1 << 24
 
 #: ASCII letters; ``lower`` alone would also fold letters beyond ASCII.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -42,3 +45,23 @@ def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int
                 at, before = i, ends[i - 1]
         if at < batch.num_rows:
             yield batch.slice(at)
+
+
+def _bit(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
+
+
+def filter_of(values: DataFrame, column: str) -> DataFrame:
+    """One row, column bits: an array of FILTER_BITS / 64 numbers with a bit for each value. Its size is fixed, so it may be broadcast;
+    with very many values it lets everything through, and the join that follows does the work."""
+    bit = _bit(F.col(column))
+    bits = values.select(F.floor(bit / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("id").agg(F.bit_or("b").alias("b"))
+    every = values.sparkSession.range(FILTER_BITS // 64).join(bits, "id", "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))), lambda x: x["b"]).alias("bits"))
+
+
+def may_be_in(rows: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
+    """rows whose value may be among those of a filter: all that are, and a few others. Null values go."""
+    bit = _bit(value)
+    likely = F.call_function("getbit", F.get("bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
+    return rows.join(F.broadcast(bits)).where(value.isNotNull() & likely).drop("bits")

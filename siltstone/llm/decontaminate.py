@@ -10,13 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, stored
+from siltstone.llm.common import ascii_lower, filter_of, may_be_in, stored
 
 WINDOW = 10
 #: The probe table is broadcast up to so many windows and bytes of their words; beyond, documents meet it in a shuffled join.
 BROADCAST_WINDOWS, BROADCAST_BYTES = 100_000, 16_000_000
-#: Bits of the filter that keeps words without any prefix out of that join: 2 MB, whatever the number of windows.
-FILTER_BITS = 1 << 24
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -45,18 +43,6 @@ def _with_prefix(windows: DataFrame, docs: DataFrame, few: bool) -> DataFrame:
     return windows.select("id", "win").join(first, "id").select("id", "win", F.size("win").alias("len"), F.col("p.word").alias("prefix"), F.col("p.off").alias("off"))
 
 
-def _filter_bit(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(FILTER_BITS))
-
-
-def _prefix_filter(probe: DataFrame) -> DataFrame:
-    """One row with an array of FILTER_BITS / 64 numbers: the bits of all prefix words."""
-    bit = _filter_bit(F.col("prefix"))
-    bits = probe.select(F.floor(bit / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("id").agg(F.bit_or("b").alias("b"))
-    every = probe.sparkSession.range(FILTER_BITS // 64).join(bits, "id", "left")
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))), lambda x: x["b"]).alias("bits"))
-
-
 def _prepared(docs: DataFrame, benchmark: DataFrame, window: int, broadcast_windows: int) -> tuple[DataFrame, DataFrame, bool]:
     """Written windows (id, win, items) and their probe table, and whether it may be broadcast."""
     windows = stored(item_windows(benchmark, window).withColumn("id", F.monotonically_increasing_id()), "windows")
@@ -80,9 +66,7 @@ def _probed(docs: DataFrame, probe: DataFrame, few: bool, window: int) -> DataFr
     # Rows shuffled by word carry the words around it only, so their size has a bound; words that are no prefix stay where they are.
     place = F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("pos"), F.least(i, F.lit(window - 1)).alias("left"),
                                                    F.slice("w", F.greatest(i - window + 2, F.lit(1)), F.least(i, F.lit(window - 1)) + window).alias("near")))
-    bit = _filter_bit(F.col("word"))
-    likely = F.call_function("getbit", F.get("bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
-    each = d.select("doc_id", "key", F.size("w").alias("n"), F.inline(place)).join(F.broadcast(_prefix_filter(probe))).where(likely).drop("bits")
+    each = may_be_in(d.select("doc_id", "key", F.size("w").alias("n"), F.inline(place)), F.col("word"), filter_of(probe, "prefix"))
     inner = F.col("left") - F.col("off")
     met = each.join(probe, fits & (start + F.col("len") <= F.col("n")) & (F.slice("near", F.greatest(inner, F.lit(0)) + 1, F.col("len")) == F.col("win")))
     found = met.select("doc_id", "key", F.lit(None).cast("long").alias("n_words"), start.alias("start"), "len", "id")

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from siltstone.llm import near_dedup, recompression, setsketch, substring_dedup
+from siltstone.llm import near_dedup, recompression, setsketch, substring_dedup, words
 from siltstone.llm.components import components
 
 SCHEMA = "doc_id long, text string"
@@ -44,6 +44,53 @@ def test_near_duplicates_in_blocks_lose_no_link(spark, monkeypatch):
     assert rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")) == sorted(brute.near(rows), key=repr)
 
 
+def boilerplate_rows(seed, families=3):
+    """Texts that share about half of their shingles, among them some copies with a few words changed."""
+    r = random.Random(seed)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    rows = []
+    for f in range(families):
+        common = [word() for _ in range(120)]
+        for _ in range(40):
+            own = common + [word() for _ in range(r.randint(60, 120))]
+            for _ in range(r.choice((1, 1, 1, 2, 5))):
+                copy = list(own)
+                for _ in range(r.randint(0, 4)):
+                    copy[r.randrange(len(copy))] = word()
+                rows.append((len(rows) + 1000 * f, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize(("documents", "wide"), [(3000, 12), (20, 12), (20, 1), (6, 2)])
+def test_near_duplicates_among_boilerplate(spark, monkeypatch, documents, wide):
+    monkeypatch.setattr(near_dedup, "TASK_DOCUMENTS", documents)
+    monkeypatch.setattr(near_dedup, "WIDE_ROWS", wide)
+    rows = boilerplate_rows(documents + wide)
+    assert rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")) == sorted(brute.near(rows), key=repr)
+
+
+def test_bands_recall_links_of_the_least_similarity():
+    rng = np.random.default_rng(3)
+    narrow = wide = 0
+    pairs = 400
+    for _ in range(pairs):
+        a = rng.integers(0, 2**63, 600, dtype=np.uint64)
+        b = a.copy()
+        b[:48] = rng.integers(0, 2**63, 48, dtype=np.uint64)  # 552 of 648 in common: 0.852
+        x, y = setsketch.registers(a), setsketch.registers(b)
+        narrow += bool((setsketch.bands(x) == setsketch.bands(y)).any())
+        wide += bool((setsketch.wide_bands(x, near_dedup.WIDE_ROWS, near_dedup.WIDE_BANDS) == setsketch.wide_bands(y, near_dedup.WIDE_ROWS, near_dedup.WIDE_BANDS)).any())
+    assert narrow == pairs and wide >= 0.99 * pairs
+
+
+def test_near_duplicates_in_long_and_repeated_texts(spark):
+    r = random.Random(8)
+    long = [f"w{r.randint(0, 10**5)}" for _ in range(40_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-100])), (3, " ".join(long[:20_000])), (4, "x " * 50_000), (5, "x " * 9), (5, " ".join(long)), (6, None), (6, "")]
+    got = sorted((r["doc_id"], min(r["n_shingles"], 2), r["component_id"]) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(1, 2, 1), (2, 2, 1), (3, 2, 3), (4, 1, 4), (5, 1, 4), (5, 2, 1), (6, 0, 6), (6, 0, 6)]
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
     got = near_dedup.near_duplicates(spark.createDataFrame([(None, "a b c"), (1, None)], SCHEMA)).collect()
@@ -94,7 +141,7 @@ def test_long_symbols_are_equal_just_for_equal_words(docs):
     meaning = {}
     for n, d, a, b in zip(name.tolist(), doc.tolist(), start.tolist(), end.tolist()):
         assert (g[a:b] == d).all() and meaning.setdefault(n, flat[a:b]) == flat[a:b]
-    contents = recompression.Contents(x).of(start, end)
+    contents = recompression.contents(x, start, end)
     assert len(set(zip(name.tolist(), contents.tolist()))) == len(set(name.tolist()))
     for i in range(len(docs)):
         for j in range(i):
@@ -155,3 +202,19 @@ def test_windows_of_one_document_are_not_sent():
     assert [(r[0], np.frombuffer(r[4], substring_dedup._SPAN).tolist()) for r in rows] == [(1, [(0, 400)])]
     wrong = {1: known[1] | {1: substring_dedup._entries(name, check ^ np.uint32(1))}}
     assert all(r[0] == 0 for r in substring_dedup._sent_windows(batch, wrong, 13, 4))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "é", "\x1f", "字", " ", "\t", "\n", "\x0b", "\x85", " ", "A", "x" * 70]), max_size=60), st.integers(3, 40))
+def test_word_hashes_are_those_of_the_words(parts, chunk):
+    raw = "".join(parts).encode()
+    words.CHUNK_BYTES, kept = chunk, words.CHUNK_BYTES
+    try:
+        place, one, two = words.hashed_words(raw)
+    finally:
+        words.CHUNK_BYTES = kept
+    split = raw.split()
+    assert [raw[i : i + len(w)] for i, w in zip(place.tolist(), split)] == split and len(one) == len(two) == len(split)
+    for h in (one, two):
+        assert [int(words.hashed_words(w)[1 if h is one else 2][0]) for w in split] == h.tolist() and len(set(h.tolist())) == len(set(split))
+    assert words.hashed_words(raw, lower=True)[1].tolist() == words.hashed_words(raw.lower())[1].tolist()
