@@ -142,6 +142,60 @@ MERCHANTABILITY.""",
 }
 
 
+MORE = {
+    "GPL-2.0-or-later": """ * This program is free software; you can redistribute it and/or modify it
+ * under the terms of the GNU General Public License as published by the
+ * Free Software Foundation; either version 2 of the License, or (at your
+ * option) any later version.""",
+    "LGPL-2.1-or-later": """// This library is free software; you can redistribute it and/or
+// modify it under the terms of the GNU Lesser General Public
+// License as published by the Free Software Foundation; either
+// version 2.1 of the License, or (at your option) any later version.""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:""",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0.\n(See the file)", "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC0-1.0": "The person who associated CC0 with this work has waived all copyright and related or neighboring rights to this work.", "MIT": "This project is licensed under the MIT License - see the file\nfor details.",
+    "Apache-2.0,GPL-2.0-only,MIT": "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\nint x;", "BSD-2-Clause": "# SPDX-License-Identifier: BSD-2-Clause.",
+}
+
+
+def test_more_licences_are_known(spark):
+    rows = spark.createDataFrame(list(enumerate(MORE.values())), SCHEMA)
+    assert [r["licenses"] for r in licenses.license_report(rows).orderBy("doc_id").collect()] == list(MORE)
+
+
+def test_licence_scans_keep_other_columns(spark):
+    rows = spark.createDataFrame([(1, WRAPPED["MIT"], 7, 8, "a"), (1, WRAPPED["MIT"], 7, 8, "a"), (None, None, 1, 2, "b")], "doc_id long, text string, _ int, _0 int, __m string")
+    got = licenses.scan_licenses(rows)
+    assert got.columns == [*rows.columns, "sentence_ids", "licenses"]
+    assert sorted([(r["doc_id"] or 0, r["_"], r["_0"], r["__m"], [x["license"] for x in r["licenses"]]) for r in got.collect()]) == [(0, 1, 2, "b", []), (1, 7, 8, "a", ["MIT"]), (1, 7, 8, "a", ["MIT"])]
+
+
 def test_wrapped_licences_are_known(spark):
     known = {"MIT": "HIJ", "BSD-3-Clause": "STUV", "Apache-2.0": "BCDEF", "GPL-3.0-or-later": "LMN"}
     rows = [(i, sep.join(text.splitlines())) for i, (text, sep) in enumerate((t, s) for t in WRAPPED.values() for s in ("\n", "\r\n", " "))]
