@@ -1,4 +1,5 @@
 import brute
+import numpy as np
 import public_tokenizers
 import tiktoken
 
@@ -30,3 +31,37 @@ def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_run_matches_brute_force(spark):
+    from siltstone.llm import quality
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels, bench = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    model = quality.fit_quality(docs, labels)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    good = [(i, t) for i, t in rows if model.score(np.array([quality.features(t or "")]))[0] >= quality.LEAST_SCORE]
+    kept = {r[0] for r in brute.exact(good) if r[3]}
+    one = [(i, t) for i, t in good if i in kept]
+    kept = {r[0] for r in brute.near(one) if r[3]}
+    two = [(i, t) for i, t in one if i in kept]
+    clean = {r[0] for r in brute.leaks(two, [(r["item_id"], r["text"]) for r in bench.collect()]) if not r[5]}
+    got = corpus_pipeline.run(spark, sf).collect()
+    assert 0 < len(clean) < len(two) < len(rows) and len(two) <= len(one) <= len(good) < len(rows)
+    assert sorted(r["doc_id"] for r in got) == sorted(clean)
+    with open(corpus_pipeline.VOCABULARY, "rb") as f:
+        theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(f.read()), special_tokens={})
+    text = dict(rows)
+    for r in got:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert ids == theirs.encode_ordinary(text[r["doc_id"]] or "") and r["ids_sha256"] == brute.sha(bytes(r["ids"])) and r["decoded_sha256"] == brute.sha((text[r["doc_id"]] or "").encode())
+
+
+def test_run_on_empty_tables(spark, tmp_path):
+    schemas = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for name, ddl in schemas.items():
+        spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+    for name, query in __spark_entry__.queries().items():
+        if name.startswith(("op1_", "op2_", "op3_", "op4_", "op6_", "op7_", "op8_", "op9_", "op10_")):
+            assert query(spark, str(tmp_path)).collect() == []
