@@ -30,19 +30,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import bounded, shuffle_width
+from siltstone.llm.common import bounded
 from siltstone.llm.recompression import contents, long_symbols, low_symbols
 from siltstone.llm.words import hashed_words, mixed, split_words
 
 WINDOW = 13
-#: Bytes of text of a batch and documents of one, unless one document has more; bytes of text for a bucket; bytes of a low symbol's name.
-BATCH_BYTES, BATCH_DOCUMENTS, BUCKET_BYTES, LOW_BYTES = 3_000_000, 8192, 12_000_000, 6
+#: Bytes of text of a batch and documents of one, unless one document has more; bytes of text for a bucket and for a slice that is dealt to buckets; bytes of a low symbol's name.
+BATCH_BYTES, BATCH_DOCUMENTS, BUCKET_BYTES, SLICE_BYTES, LOW_BYTES = 2_000_000, 8192, 6_000_000, 12_000_000, 6
+
+#: Buckets of small tables.
+LEAST_BUCKETS = 8
 
 _LOW, _LONG, _LOW_KNOWN, _LONG_KNOWN = 0, 1, 2, 3
 _ENTRY = np.dtype([("name", "<u8"), ("check", "<u4")])
 _SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
-_SENT = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
-_DEALT = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("ids", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("payload", pa.binary())])
+_SENT = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
+_DEALT = pa.schema([("part", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
 _STRIPPED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
 
@@ -88,6 +91,18 @@ def _unplanes(raw: bytes, n: int, width: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def _owned(ids: np.ndarray, keys: np.ndarray | None, rest: bytes) -> bytes:
+    """A payload: the documents that it is of, with their keys in the second round, and what it says of them."""
+    return len(ids).to_bytes(4, "little") + _planes(ids.astype(np.uint64), 8) + (keys.astype("<i8").tobytes() if keys is not None else b"") + rest
+
+
+def _owners_of(raw: bytes, keyed: bool) -> tuple[np.ndarray, np.ndarray | None, bytes]:
+    n = int.from_bytes(raw[:4], "little")
+    ids = _unplanes(raw[4 : 4 + 8 * n], n, 8).astype(np.int64)
+    to = 4 + 8 * n * (1 + keyed)
+    return ids, np.frombuffer(raw, "<i8", n, 4 + 8 * n) if keyed else None, raw[to:]
+
+
 def _part(ids: np.ndarray, parts: int) -> np.ndarray:
     """Where a document and its answers meet: a hash of the id."""
     return (mixed(ids.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) % np.uint64(parts)).astype(np.int64)
@@ -138,7 +153,7 @@ def _sent_symbols(batch: Batch, window: int, buckets: int) -> list[tuple]:
         order = np.argsort(who, kind="stable")
         for a, b in _runs(who[order]):
             i = int(who[order[a]])
-            rows.append((kind, int(part[i]), [int(batch.ids[i])], [], payload(order[a:b])))
+            rows.append((kind, int(part[i]), _owned(batch.ids[i : i + 1], None, payload(order[a:b]))))
 
     order = np.lexsort((low.doc, short))
     order = order[_groups(short[order], low.doc[order])]
@@ -153,7 +168,7 @@ def _sent_symbols(batch: Batch, window: int, buckets: int) -> list[tuple]:
         bucket = _buckets_of(x, 8 * LOW_BYTES, buckets)
         for a, b in _runs(bucket):
             used, local = np.unique(d[a:b], return_inverse=True)
-            rows.append((_LOW, int(bucket[a]), batch.ids[used].tolist(), [], _planes(x[a:b], LOW_BYTES) + local.astype("<u2").tobytes()))
+            rows.append((_LOW, int(bucket[a]), _owned(batch.ids[used], None, _planes(x[a:b], LOW_BYTES) + local.astype("<u2").tobytes())))
 
     order = np.lexsort((batch.ids[doc], check, name))
     x, c, d = name[order], check[order], doc[order]
@@ -164,38 +179,40 @@ def _sent_symbols(batch: Batch, window: int, buckets: int) -> list[tuple]:
     bucket = _buckets_of(x, 64, buckets)
     for a, b in _runs(bucket):
         used, local = np.unique(d[a:b], return_inverse=True)
-        rows.append((_LONG, int(bucket[a]), batch.ids[used].tolist(), [], _planes(x[a:b], 8) + c[a:b].astype("<u4").tobytes() + local.astype("<u2").tobytes()))
+        rows.append((_LONG, int(bucket[a]), _owned(batch.ids[used], None, _planes(x[a:b], 8) + c[a:b].astype("<u4").tobytes() + local.astype("<u2").tobytes())))
     return rows
 
 
-def _dealt(kind: int, ids: np.ndarray, keys: np.ndarray, payload: list[bytes], parts: int) -> list[tuple]:
-    """One row for each part that has answers: ids, keys, the bytes of each, and the answers, end to end."""
+def _dealt(kind: int, ids: np.ndarray, keys: np.ndarray | None, payload: list[bytes], parts: int) -> list[tuple]:
+    """One row for each part that has answers: the documents, the bytes of each one's, and the answers, end to end."""
     part, rows = _part(ids, parts), []
     order = np.argsort(part, kind="stable")
     for a, b in _runs(part[order]):
         own = order[a:b]
-        rows.append((int(part[own[0]]), kind, ids[own].tolist(), keys[own].tolist() if len(keys) else [], [len(payload[i]) for i in own], b"".join(payload[i] for i in own)))
+        said = [payload[i] for i in own]
+        rows.append((int(part[own[0]]), kind, _owned(ids[own], keys[own] if keys is not None else None, np.array([len(x) for x in said], "<u8").tobytes() + b"".join(said))))
     return rows
 
 
-def _passed_on(rows: pa.Table, kind: int, parts: int) -> list[tuple]:
-    """Rows that are answers already."""
-    ids, keys = (np.array([x[0] for x in rows.column(c).to_pylist() if x], np.int64) for c in ("ids", "keys"))
-    return _dealt(kind, ids, keys, rows.column("payload").to_pylist(), parts)
+def _passed_on(rows: pa.Table, kind: int, keyed: bool, parts: int) -> list[tuple]:
+    """Rows that are answers already, each to one document."""
+    ids, keys, said = zip(*(_owners_of(raw, keyed) for raw in rows.column("payload").to_pylist()))
+    return _dealt(kind, np.concatenate(ids), np.concatenate(keys) if keyed else None, list(said), parts)
 
 
 def _answered_symbols(rows: pa.Table, parts: int) -> list[tuple]:
     """Of a bucket: low symbols that two documents have, to all of them; long symbols that a smaller doc_id has, to the others."""
     kind = rows.column("kind")[0].as_py()
     if kind in (_LOW_KNOWN, _LONG_KNOWN):
-        return _passed_on(rows, kind - 2, parts)
+        return _passed_on(rows, kind - 2, False, parts)
     names, checks, docs = [], [], []
-    for ids, raw in zip(rows.column("ids").to_pylist(), rows.column("payload").to_pylist()):
-        width = LOW_BYTES if kind == _LOW else 8
+    width = LOW_BYTES if kind == _LOW else 8
+    for whole in rows.column("payload").to_pylist():
+        ids, _, raw = _owners_of(whole, False)
         n = len(raw) // (width + (2 if kind == _LOW else 6))
         names.append(_unplanes(raw, n, width))
         checks.append(np.frombuffer(raw, "<u4", n, width * n) if kind == _LONG else np.zeros(n, np.uint32))
-        docs.append(np.array(ids, np.int64)[np.frombuffer(raw, "<u2", n, len(raw) - 2 * n)])
+        docs.append(ids[np.frombuffer(raw, "<u2", n, len(raw) - 2 * n)])
     name, check, doc = map(np.concatenate, (names, checks, docs))
     order = np.lexsort((doc, check, name))
     name, check, doc = name[order], check[order], doc[order]
@@ -210,7 +227,7 @@ def _answered_symbols(rows: pa.Table, parts: int) -> list[tuple]:
     name, check, doc = name[order], check[order], doc[order]
     runs = _runs(doc)
     payload = [name[a:b].astype("<u8").tobytes() if kind == _LOW else _entries(name[a:b], check[a:b]) for a, b in runs]
-    return _dealt(kind, doc[[a for a, _ in runs]] if runs else doc, doc[:0], payload, parts)
+    return _dealt(kind, doc[[a for a, _ in runs]] if runs else doc, None, payload, parts)
 
 
 def _covered(start: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
@@ -268,14 +285,14 @@ def _sent_windows(batch: Batch, answers: dict[int, dict[int, bytes]], window: in
     gone_start, gone_end, gone_doc = gone_start[order], gone_end[order], gone_doc[order]
     for a, b in _runs(gone_doc):
         i = int(gone_doc[a])
-        rows.append((_LONG, int(part[i]), [int(batch.ids[i])], [int(batch.keys[i])], _spans(gone_start[a:b] - batch.first[i], gone_end[a:b] - batch.first[i])))
+        rows.append((_LONG, int(part[i]), _owned(batch.ids[i : i + 1], batch.keys[i : i + 1], _spans(gone_start[a:b] - batch.first[i], gone_end[a:b] - batch.first[i]))))
     x, c, live = x[~later], c[~later], live[~later]
     bucket = _buckets_of(x, 64, buckets)
     for a, b in _runs(bucket):
         d = batch.doc[live[a:b]]
         used, local = np.unique(d, return_inverse=True)
         payload = _planes(x[a:b], 8) + c[a:b].astype("<u4").tobytes() + (live[a:b] - batch.first[d]).astype("<u4").tobytes() + local.astype("<u2").tobytes()
-        rows.append((_LOW, int(bucket[a]), batch.ids[used].tolist(), batch.keys[used].tolist(), payload))
+        rows.append((_LOW, int(bucket[a]), _owned(batch.ids[used], batch.keys[used], payload)))
     return rows
 
 
@@ -295,16 +312,17 @@ def _spans(start: np.ndarray, end: np.ndarray) -> bytes:
 def _answered_windows(rows: pa.Table, window: int, parts: int) -> list[tuple]:
     """Of a bucket the places of windows that a smaller doc_id has too."""
     if rows.column("kind")[0].as_py() == _LONG:
-        return _passed_on(rows, 0, parts)
+        return _passed_on(rows, 0, True, parts)
     names, checks, docs, keys, places = [], [], [], [], []
-    for own, key, raw in zip(rows.column("ids").to_pylist(), rows.column("keys").to_pylist(), rows.column("payload").to_pylist()):
+    for whole in rows.column("payload").to_pylist():
+        own, key, raw = _owners_of(whole, True)
         n = len(raw) // 18
         local = np.frombuffer(raw, "<u2", n, 16 * n)
         names.append(_unplanes(raw, n, 8))
         checks.append(np.frombuffer(raw, "<u4", n, 8 * n))
         places.append(np.frombuffer(raw, "<u4", n, 12 * n))
-        docs.append(np.array(own, np.int64)[local])
-        keys.append(np.array(key, np.int64)[local])
+        docs.append(own[local])
+        keys.append(key[local])
     name, check, doc, key, place = map(np.concatenate, (names, checks, docs, keys, places))
     order = np.lexsort((doc, check, name))
     doc, key, place = doc[order], key[order], place[order].astype(np.int64)
@@ -339,7 +357,7 @@ def _batches(rows: Iterator[tuple[int, str]]) -> Iterator[Batch]:
 def _packed(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """(part, texts): compressed slices of documents by part. Rows without doc_id have no answers to meet and go by a hash of the text."""
     squeeze = zstandard.ZstdCompressor(level=1)
-    for batch in bounded(batches, 1, 10_000, BUCKET_BYTES):
+    for batch in bounded(batches, 1, 10_000, SLICE_BYTES):
         ids = batch.column(0)
         own = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
         for i in np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False)):
@@ -364,11 +382,12 @@ def _unpacked(texts: pa.Table) -> Iterator[tuple[int | None, str]]:
                 yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
 
 
-def _pieces(answers: pa.Table) -> Iterator[tuple[int, int, int | None, bytes]]:
+def _pieces(answers: pa.Table, keyed: bool) -> Iterator[tuple[int, int, int | None, bytes]]:
     """(kind, id, key, answer) of each answer."""
-    for kind, ids, keys, sizes, raw in zip(*(answers.column(c).to_pylist() for c in ("kind", "ids", "keys", "sizes", "payload"))):
-        at = 0
-        for i, k, n in zip(ids, keys or [None] * len(ids), sizes):
+    for kind, whole in zip(answers.column("kind").to_pylist(), answers.column("payload").to_pylist()):
+        ids, keys, raw = _owners_of(whole, keyed)
+        at = 8 * len(ids)
+        for i, k, n in zip(ids.tolist(), keys.tolist() if keyed else [None] * len(ids), np.frombuffer(raw, "<u8", len(ids)).tolist()):
             yield kind, i, k, raw[at : at + n]
             at += n
 
@@ -381,11 +400,10 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
     empty result. Texts may have any length up to what one row of Arrow holds (2 GB); one text is handled by one task.
     doc_id must be an integer column; only doc_id and text are read.
     """
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(2 * shuffle_width(spark), -(-int(size) // BUCKET_BYTES))
-    sent, dealt = "kind int, bucket int, ids array<long>, keys array<long>, payload binary", "part int, kind int, ids array<long>, keys array<long>, sizes array<long>, payload binary"
+    buckets = max(LEAST_BUCKETS, -(-int(size) // BUCKET_BYTES))
+    sent, dealt = "kind int, bucket int, payload binary", "part int, kind int, payload binary"
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
@@ -399,7 +417,7 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
 
     def windows(texts: pa.Table, answers: pa.Table) -> pa.Table:
         got: dict[int, dict[int, bytes]] = {}
-        for kind, i, _, raw in _pieces(answers):
+        for kind, i, _, raw in _pieces(answers, False):
             mine = got.setdefault(i, {})
             mine[kind] = mine.get(kind, b"") + raw
         out = [_table(_SENT, _sent_windows(batch, got, window, buckets)) for batch in _batches(row for row in _unpacked(texts) if row[0] is not None)]
@@ -410,7 +428,7 @@ def strip_repeats(docs: DataFrame, *, window: int = WINDOW) -> DataFrame:
 
     def strip(texts: pa.Table, answers: pa.Table) -> pa.Table:
         got: dict[tuple[int, int | None], list[bytes]] = {}
-        for _, i, key, raw in _pieces(answers):
+        for _, i, key, raw in _pieces(answers, True):
             got.setdefault((i, key), []).append(raw)
         out = []
         for i, t in _unpacked(texts):

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Bytes that are hashed at once, and the longest word that a polynomial of its bytes stands for; longer ones are hashed one by one.
-CHUNK_BYTES, PLAIN_BYTES = 1 << 22, 64
+CHUNK_BYTES, PLAIN_BYTES = 1 << 20, 64
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
