@@ -85,12 +85,13 @@ ANCHORS = "licen[sc]e|permi|warrant|redistribut|free software|copyright|unencumb
 
 
 #: A line that names licences by their short ids, and what of its words are no ids.
-SPDX_LINE, _SPDX_EXCEPTION = r"(?i)SPDX-License-Identifier:[\x20\t]*([A-Za-z0-9.+()\x20-]+)", r"(?i)\bwith\b[\x20]+[A-Za-z0-9.+-]+"
+SPDX_TAG = "SPDX-License-Identifier:"
+SPDX_LINE, _SPDX_EXCEPTION = SPDX_TAG + r"[\x20\t]*([A-Za-z0-9.+()\x20-]+)", r"(?i)\bwith\b[\x20]+[A-Za-z0-9.+-]+"
 
 
 def spdx_ids(text: Column) -> Column:
     """Short ids on the SPDX lines of a text, as written there; AND, OR, brackets and exceptions are left out."""
-    lines = F.regexp_extract_all(text, F.lit(SPDX_LINE), F.lit(1))
+    lines = F.when(text.contains(SPDX_TAG), F.regexp_extract_all(text, F.lit(SPDX_LINE), F.lit(1))).otherwise(F.array().cast("array<string>"))
     words = F.flatten(F.transform(lines, lambda x: F.regexp_extract_all(F.regexp_replace(x, _SPDX_EXCEPTION, ""), F.lit("[A-Za-z0-9.+-]+"), F.lit(0))))
     return F.filter(F.transform(words, lambda w: F.regexp_replace(w, "[.-]+$", "")), lambda w: (w != "") & ~F.upper(w).isin("AND", "OR"))
 
