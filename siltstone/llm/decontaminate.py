@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, filter_of, may_be_in, stored
+from siltstone.llm.common import ascii_lower, filter_of, may_be_in, stored, without
 
 WINDOW = 10
 #: The probe table is broadcast up to so many windows and bytes of their words; beyond, documents meet it in a shuffled join.
@@ -104,6 +104,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs without the documents that hold a window of an item."""
-    found = hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).distinct().hint("merge")
-    same = docs["doc_id"].eqNullSafe(found["_doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["_key"])
-    return docs.join(found, same, "left_anti")
+    gone = stored(hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct(), "gone")
+    return without(docs, gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_key"]))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import shuffle_width, stored
+from siltstone.llm.common import shuffle_width, stored, without
 
 #: Characters of a block, and distinct blocks (about) in a sorted bucket.
 BLOCK_CHARS = 4096
@@ -107,7 +107,6 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     """docs without the later copies: of equal texts the row with the smallest doc_id stays; rows with a null doc_id stay.
 
     Rows go by doc_id and normalised text together. Of rows that repeat a doc_id, one with a text of its own stays when
-    another is a copy; rows that repeat both doc_id and text stay or go together, as nothing tells them apart.
-    The join is a merge join at any size, so cost grows with the input alone."""
-    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).hint("merge")
-    return docs.join(gone, (docs["doc_id"] == gone["_gone"]) & (F.sha2(normalised(docs["text"]), 256) == gone["_sha"]), "left_anti")
+    another is a copy; rows that repeat both doc_id and text stay or go together, as nothing tells them apart."""
+    gone = stored(exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")), "gone")
+    return without(docs, gone, (docs["doc_id"] == gone["_gone"]) & (F.sha2(normalised(docs["text"]), 256) == gone["_sha"]))

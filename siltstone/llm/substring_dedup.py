@@ -79,6 +79,16 @@ def _short(name: np.ndarray) -> np.ndarray:
     return name >> np.uint64(64 - 8 * LOW_BYTES)
 
 
+def _low_names(name: np.ndarray) -> bytes:
+    return name.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES].tobytes()
+
+
+def _low_names_of(raw: bytes) -> np.ndarray:
+    whole = np.zeros((len(raw) // LOW_BYTES, 8), np.uint8)
+    whole[:, :LOW_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, LOW_BYTES)
+    return whole.view("<u8").ravel()
+
+
 def _planes(name: np.ndarray, width: int) -> bytes:
     """Sorted names as byte planes of their differences, which compress well."""
     gaps = np.diff(name, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
@@ -163,7 +173,7 @@ def _sent_symbols(batch: Batch, window: int, buckets: int) -> list[tuple]:
     begin = np.flatnonzero(fresh)
     if len(begin):
         many = (np.minimum.reduceat(ids, begin) != np.maximum.reduceat(ids, begin))[np.cumsum(fresh) - 1]
-        known(_LOW_KNOWN, d[many], lambda at, x=x[many]: x[at].astype("<u8").tobytes())
+        known(_LOW_KNOWN, d[many], lambda at, x=x[many]: _low_names(x[at]))
         x, d = x[fresh], d[fresh]
         bucket = _buckets_of(x, 8 * LOW_BYTES, buckets)
         for a, b in _runs(bucket):
@@ -226,7 +236,7 @@ def _answered_symbols(rows: pa.Table, parts: int) -> list[tuple]:
     order = np.argsort(doc, kind="stable")
     name, check, doc = name[order], check[order], doc[order]
     runs = _runs(doc)
-    payload = [name[a:b].astype("<u8").tobytes() if kind == _LOW else _entries(name[a:b], check[a:b]) for a, b in runs]
+    payload = [_low_names(name[a:b]) if kind == _LOW else _entries(name[a:b], check[a:b]) for a, b in runs]
     return _dealt(kind, doc[[a for a, _ in runs]] if runs else doc, None, payload, parts)
 
 
@@ -247,14 +257,14 @@ def _sent_windows(batch: Batch, answers: dict[int, dict[int, bytes]], window: in
     low, short, name, check, doc, start, end = batch.symbols(window)
     n, rows, part = len(batch.doc), [], _part(batch.ids, buckets)
 
-    def told(kind: int, dtype) -> tuple[np.ndarray, np.ndarray]:
+    def told(kind: int, size: int) -> tuple[np.ndarray, bytes]:
         mine = [answers.get(int(i), {}).get(kind, b"") for i in batch.ids]
-        size = np.dtype(dtype).itemsize
-        return np.repeat(np.arange(len(mine)), [len(x) // size for x in mine]), np.frombuffer(b"".join(mine), dtype)
+        return np.repeat(np.arange(len(mine)), [len(x) // size for x in mine]), b"".join(mine)
 
-    who, names = told(_LOW, "<u8")
-    alone = ~np.isin(_keyed(short, low.doc), _keyed(names, who))
-    who, entries = told(_LONG, _ENTRY)
+    who, raw = told(_LOW, LOW_BYTES)
+    alone = ~np.isin(_keyed(short, low.doc), _keyed(_low_names_of(raw), who))
+    who, raw = told(_LONG, _ENTRY.itemsize)
+    entries = np.frombuffer(raw, _ENTRY)
     key = _keyed(entries["name"].astype(np.uint64), who)
     order = np.argsort(key, kind="stable")
     key, checks = key[order], entries["check"][order]
