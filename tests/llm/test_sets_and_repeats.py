@@ -195,9 +195,9 @@ def test_windows_of_one_document_are_not_sent():
     batch = substring_dedup.Batch([1], [7], [" ".join(words)])
     assert substring_dedup._sent_windows(batch, {}, 13, 4) == []
     _, short, name, check, _, _, _ = batch.symbols(13)
-    shared = {1: {0: short.astype("<u8").tobytes()}}
+    shared = {1: {0: substring_dedup._low_names(short)}}
     assert sum(len(substring_dedup._owners_of(r[2], True)[2]) // 18 for r in substring_dedup._sent_windows(batch, shared, 13, 4)) == 388
-    known = {1: {0: short.astype("<u8").tobytes(), 1: substring_dedup._entries(name, check)}}
+    known = {1: {0: substring_dedup._low_names(short), 1: substring_dedup._entries(name, check)}}
     rows = substring_dedup._sent_windows(batch, known, 13, 4)
     assert [(r[0], np.frombuffer(substring_dedup._owners_of(r[2], True)[2], substring_dedup._SPAN).tolist()) for r in rows] == [(1, [(0, 400)])]
     wrong = {1: known[1] | {1: substring_dedup._entries(name, check ^ np.uint32(1))}}
