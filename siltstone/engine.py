@@ -1,14 +1,19 @@
-"""Tables in the shared folder, and global numbering of rows."""
+"""Tables in the shared folder, global numbering of rows, and filters of a fixed size."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Bits of a filter: 2 MB, whatever the number of values.
+FILTER_BITS = 1 << 24
+#: Bits of the bitmaps that the engine's aggregate makes (fixed value).
+BITMAP_BITS = 32768
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. Where the session names none, a temporary one in local mode; on a cluster that is an
@@ -46,3 +51,32 @@ def numbered(df: DataFrame, order: list[str], group: str | None = None, name: st
     starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long"))).drop("_n")
     own = F.row_number().over(W.partitionBy(*by).orderBy(*order))
     return ranged.join(starts, by).withColumn(name, (own - 1 + F.col("_start")).cast("long")).drop("_range", "_start")
+
+
+def _bit(value: Column) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
+
+
+def filter_of(values: DataFrame, column: str) -> DataFrame:
+    """A bit for each value, as up to FILTER_BITS / 32768 rows of 4 kB. Its size is bounded, so it may be broadcast; with very many
+    values it lets everything through, and the join that follows does the work. Null is a value like others."""
+    bit = _bit(F.col(column))
+    return values.groupBy(F.floor(bit / BITMAP_BITS).alias("_filter_bucket")).agg(F.bitmap_construct_agg(bit % BITMAP_BITS).alias("_filter_bits"))
+
+
+def _split(rows: DataFrame, value: Column, bits: DataFrame, there: bool) -> DataFrame:
+    bit = _bit(value)
+    byte = F.conv(F.hex(F.substring("_filter_bits", (F.floor(bit % BITMAP_BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    is_set = F.call_function("getbit", byte, (bit % 8).cast("int")) == 1
+    met = rows.join(F.broadcast(bits), F.floor(bit / BITMAP_BITS) == F.col("_filter_bucket"), "inner" if there else "left")
+    return met.where(is_set if there else F.coalesce(~is_set, F.lit(True))).drop("_filter_bucket", "_filter_bits")
+
+
+def may_be_in(rows: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
+    """rows whose value may be among those of a filter: all that are, and a few others."""
+    return _split(rows, value, bits, True)
+
+
+def cannot_be_in(rows: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
+    """The other rows: their value is none of those of the filter."""
+    return _split(rows, value, bits, False)

@@ -67,14 +67,17 @@ def sections(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     return cut.select(key, "section", F.coalesce(F.get("_heads", at)["level"], F.lit(0)).alias("level"), F.coalesce(F.get("_paths", at), F.array().cast("array<string>")).alias("path"), plain(F.col("_body")).alias("text"))
 
 
-def screen(docs: DataFrame, text: Column, must: list[list[str]], boost: dict[str, list[str]], accept: int = 1) -> DataFrame:
+def screen(docs: DataFrame, text: Column, must: list[list[str]], boost: dict[str, list[str]], accept: int = 1, license: Column | None = None) -> DataFrame:
     """Adds relevance and screening: words within a must group are alternatives, all groups are needed; boost groups
-    that occur add to relevance. accepted from ``accept`` boosts on, else borderline; rejected without all groups."""
+    that occur add to relevance. accepted from ``accept`` boosts on, else borderline; rejected without all groups, and, where a
+    license is given, for one that may neither be published nor flagged."""
     w = T.words(text)
     some = lambda terms: F.arrays_overlap(w, F.array(*map(F.lit, terms)))
     needed = F.lit(True)
     for group in must:
         needed = needed & some(group)
+    if license is not None:
+        needed = needed & (T.license_verdict(license) != "REJECTED")
     relevance = sum((some(terms).cast("int") for terms in boost.values()), F.lit(0))
     verdict = F.when(~F.col("_all"), "rejected").when(F.col("relevance") >= accept, "accepted").otherwise("borderline")
     return docs.withColumns({"_all": needed, "relevance": relevance}).withColumn("screening", verdict).drop("_all")

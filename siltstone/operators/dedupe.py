@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.engine import stored
+from siltstone.engine import filter_of, may_be_in, stored
 from siltstone.functions import text as T
 
 
@@ -23,7 +23,10 @@ def _links(rows: DataFrame, key: str, text: Column, buckets: list[str], least: f
     heads = heads.select(*buckets, F.col("head").alias("key"), "set", n.alias("n"), F.explode(F.slice("set", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))).alias("token"))
     a, b = (heads.select(*buckets, "token", *(F.col(c).alias(f"{c}_{s}") for c in ("key", "set", "n"))) for s in "ab")
     pairs = a.drop("set_a").join(b.drop("set_b"), [*buckets, "token"]).where((F.col("key_a") < F.col("key_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least) - 1e-9)).select("key_a", "key_b").distinct()
-    whole = sets.select("key", "set")
+    # Only the sets of pairs are shuffled to them; a filter of 2 MB keeps the others where they are.
+    pairs = stored(pairs, "pairs")
+    nodes = pairs.select(F.explode(F.array("key_a", "key_b")).alias("node"))
+    whole = may_be_in(sets.select("key", "set"), F.col("key"), filter_of(nodes, "node"))
     full = pairs.join(whole.select(F.col("key").alias("key_a"), F.col("set").alias("x")), "key_a").join(whole.select(F.col("key").alias("key_b"), F.col("set").alias("y")), "key_b")
     inter = F.size(F.array_intersect("x", "y"))
     good = inter >= F.lit(least) * (F.size("x") + F.size("y") - inter) - 1e-9

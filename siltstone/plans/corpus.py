@@ -95,6 +95,13 @@ def screen_relevance(spark, d):
     return corpus.screen(I.table(spark, d, "documents"), F.col("text"), must, boost).select("doc_id", "relevance", "screening")
 
 
+@query(f"""WITH {I.DOCS}, w AS (SELECT doc_id, {I.VERDICT.format('license')} AS verdict, {_WORDS.format('text')} AS w FROM docs)
+    SELECT doc_id, CASE WHEN verdict = 'REJECTED' OR NOT list_has_any(w, ['the', 'der', 'les', 'la']) THEN 'rejected' WHEN list_has_any(w, ['with', 'mit']) THEN 'accepted' ELSE 'borderline' END AS screening FROM w""")
+def screen_licensed(spark, d):
+    docs = I.documents(spark, d)
+    return corpus.screen(docs, F.col("text"), [["the", "der", "les", "la"]], {"a": ["with", "mit"]}, license=F.col("license")).select("doc_id", "screening")
+
+
 @query(r"""WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM documents),
     u AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM t),
     g AS (SELECT doc_id, len(x) = 1 AS one, i - row_number() OVER (PARTITION BY doc_id, len(x) = 1 ORDER BY i) AS island FROM u),

@@ -221,6 +221,18 @@ def test_garble_counts_whole_runs(spark):
     assert got == [ratio(t) for t in texts]
 
 
+def test_filters_keep_all_that_is_there(spark):
+    from siltstone import engine
+
+    values = spark.range(0, 3000, 3).select((F.col("id") * 7919).alias("v")).unionByName(spark.createDataFrame([(None,)], "v long"))
+    rows = spark.range(6000).select(F.when(F.col("id") > 0, F.col("id") * 7919).alias("k"), F.col("id").alias("n"))
+    for some in (values, values.limit(0)):
+        bits, there = engine.filter_of(some, "v"), {r["v"] for r in some.collect()}
+        maybe, no = ({(r["k"], r["n"]) for r in f(rows, F.col("k"), bits).collect()} for f in (engine.may_be_in, engine.cannot_be_in))
+        assert len(maybe) + len(no) == 6000 and not maybe & no and not {k for k, _ in no} & there
+        assert len(maybe) <= len(there) + 5 and engine.may_be_in(rows, F.col("k"), bits).columns == ["k", "n"]
+
+
 def test_a_cluster_without_a_shared_folder_is_an_error():
     from types import SimpleNamespace
 
@@ -278,6 +290,12 @@ def test_judge_and_rationale(spark):
     assert [(r["status"], r["reject_reason"]) for r in records.judge(rows, records.QA_FLOOR, F.col("why")).collect()] == [("accepted", None), ("rejected", "judge:weak"), ("rejected", "judge:below_threshold")]
 
 
+def test_long_rationales_are_cut(spark):
+    rows = spark.createDataFrame([(1, "é" * 3000)], "faithfulness int, why string")
+    reason = records.judge(rows, {"faithfulness": 4}, F.col("why")).first()["reject_reason"]
+    assert len(reason) == 2000 and reason == "judge:" + "é" * 1994
+
+
 def test_replies_meet_their_chunks(spark):
     asked = spark.createDataFrame([(0, 0, "a"), (0, 1, "b"), (1, 0, "c")], "batch_id long, chunk_index int, chunk_id string")
     replies = spark.createDataFrame([(0, [(1, "x")]), (1, [(0, "y")])], "batch_id long, results array<struct<chunk_index:int,v:string>>")
