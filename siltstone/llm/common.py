@@ -9,13 +9,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.engine import stored
+from siltstone.engine import cannot_be_in, filter_of, may_be_in, stored
 
 __all__ = ["ascii_lower", "bounded", "filter_of", "may_be_in", "shuffle_width", "stored", "table", "without"]
 
-#: Bits of a filter: 2 MB, whatever the number of values.
-FILTER_BITS = 1 << 24
-
 #: ASCII letters; ``lower`` alone would also fold letters beyond ASCII.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -47,30 +44,6 @@ def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int
             yield batch.slice(at)
 
 
-def _bit(value: Column) -> Column:
-    return F.pmod(F.xxhash64(value), F.lit(FILTER_BITS))
-
-
-def filter_of(values: DataFrame, column: str) -> DataFrame:
-    """One row, column _filter_bits: an array of FILTER_BITS / 64 numbers with a bit for each value. Its size is fixed, so it may be
-    broadcast; with very many values it lets everything through, and the join that follows does the work."""
-    bit = _bit(F.col(column))
-    bits = values.select(F.floor(bit / 64).cast("long").alias("id"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("id").agg(F.bit_or("b").alias("b"))
-    every = values.sparkSession.range(FILTER_BITS // 64).join(bits, "id", "left")
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))), lambda x: x["b"]).alias("_filter_bits"))
-
-
-def _split(rows: DataFrame, value: Column, bits: DataFrame, there: bool) -> DataFrame:
-    bit = _bit(value)
-    set_there = F.call_function("getbit", F.get("_filter_bits", F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1
-    return rows.join(F.broadcast(bits)).where(set_there if there else ~set_there).drop("_filter_bits")
-
-
-def may_be_in(rows: DataFrame, value: Column, bits: DataFrame) -> DataFrame:
-    """rows whose value may be among those of a filter: all that are, and a few others. Null is a value like others."""
-    return _split(rows, value, bits, True)
-
-
 def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
     """docs without the rows that have a match in gone, a written table with the ids as _gone; same must ask for equal ids, too.
 
@@ -78,4 +51,4 @@ def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
     merge join at any size, so that cost grows with the input alone. docs is read twice.
     """
     bits = stored(filter_of(gone, "_gone"), "filter")
-    return _split(docs, docs["doc_id"], bits, False).unionByName(may_be_in(docs, docs["doc_id"], bits).join(gone.hint("merge"), same, "left_anti"))
+    return cannot_be_in(docs, docs["doc_id"], bits).unionByName(may_be_in(docs, docs["doc_id"], bits).join(gone.hint("merge"), same, "left_anti"))
