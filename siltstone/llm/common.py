@@ -50,5 +50,5 @@ def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
     Rows whose id can't be among those, by a filter of 2 MB, stay where they are; only the others are shuffled to the join, a
     merge join at any size, so that cost grows with the input alone. docs is read twice.
     """
-    bits = stored(filter_of(gone, "_gone"), "filter")
+    bits = filter_of(gone, "_gone")
     return cannot_be_in(docs, docs["doc_id"], bits).unionByName(may_be_in(docs, docs["doc_id"], bits).join(gone.hint("merge"), same, "left_anti"))
