@@ -51,4 +51,8 @@ def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
     merge join at any size, so that cost grows with the input alone. docs is read twice.
     """
     bits = filter_of(gone, "_gone")
-    return cannot_be_in(docs, docs["doc_id"], bits).unionByName(may_be_in(docs, docs["doc_id"], bits).join(gone.hint("merge"), same, "left_anti"))
+    some = may_be_in(docs, docs["doc_id"], bits)
+    # An anti join would be pushed below the filter, and all rows shuffled to it.
+    met = some.join(gone.withColumn("_siltstone_hit", F.struct("_gone")).hint("merge"), same, "left")
+    kept = met.where(F.col("_siltstone_hit").isNull()).select(*(some[c] for c in docs.columns))
+    return cannot_be_in(docs, docs["doc_id"], bits).unionByName(kept)
