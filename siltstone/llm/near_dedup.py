@@ -6,9 +6,10 @@
    connected parts of these stars are loose clusters: no link can lie across two of them, except one whose
    documents share no band (under 3 in ten million at the least similarity).
 3. Bands chain, so what many texts have in common can make one cluster of all of them. A cluster too large for one task is
-   clustered anew by wider bands of the same registers, which linked documents share too (but for one in ten
-   thousand at the least similarity) and others hardly. Where it stays large, it is of near copies: each member is confirmed
-   against the one that it shares most bands with, and what is connected then needn't be compared again.
+   clustered anew by wider bands of the same registers, which linked documents mostly share (but for one in ten
+   thousand at the least similarity) and others hardly. Links between these finer clusters are found by an exact prefix
+   filter over full sets, so that wide bands lose none. Where a finer cluster is still large, it is of near copies: each member
+   is confirmed against the one that it shares most bands with, and what is connected then needn't be compared again.
 4. A cluster's texts meet in tasks of bounded size: whole if small, else as pairs of blocks, but no pair of blocks whose
    members are all connected. There the joint likelihood estimate drops pairs far from a link, and all others
    are confirmed on full sets unless both ends are already connected. Each task returns a spanning forest of its
@@ -38,6 +39,8 @@ MARGIN = 4.0
 TASK_DOCUMENTS, TASK_SHINGLES = 2000, 2_000_000
 #: Registers of a wide band and how many of them: at a similarity of 0.85 two documents share none of 64 in about one case of ten thousand.
 WIDE_ROWS, WIDE_BANDS = 12, 64
+#: Documents whose shingles are counted, and how many frequent shingles are kept, to order shingles for prefixes. Any order gives the same links.
+COUNTED_DOCUMENTS, FREQUENT_SHINGLES = 20_000, 100_000
 BATCH_ROWS = 512
 
 
@@ -155,8 +158,66 @@ def _wide_bands(sk: DataFrame, nodes: DataFrame) -> DataFrame:
     return banded.select("node", "component", F.explode("bands").alias("band"))
 
 
+def _frequent(texts: DataFrame, rows: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and their counts in a sample of texts (doc_id, text) of about so many rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, 0, BATCH_ROWS):
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, shingle).view(np.int64))], ["token"])
+
+    some = texts.where(F.pmod(F.xxhash64("doc_id", F.lit("count")), F.lit(-(-rows // COUNTED_DOCUMENTS))) == 0)
+    counts = some.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
+    found = counts.orderBy(F.desc("n"), "token").limit(FREQUENT_SHINGLES).toArrow()
+    token, n = (found.column(c).to_numpy() for c in ("token", "n"))
+    order = np.argsort(token.view(np.uint64))
+    return token.view(np.uint64)[order], n[order]
+
+
+def prefix(s: np.ndarray, least: int, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rare ones first. Two sets that are linked have one of each other's prefixes in common, as a
+    link needs least in 100 of the larger set."""
+    if not len(s):
+        return s
+    n = np.zeros(len(s), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        n = np.where(frequent[at] == s, counts[at], 0)
+    return s[np.lexsort((s, n))][: len(s) - (least * len(s) + 99) // 100 + 1]
+
+
+def _across(docs: DataFrame, parts: DataFrame, rows: int, shingle: int, least: int) -> DataFrame:
+    """(u, v): all links between documents of different parts (node, part), by an exact prefix filter. Members of one part
+    never meet, so a shingle that only one part has costs nothing beyond its rows."""
+    texts = _texts_of(docs, parts)
+    frequent, counts = _frequent(texts, rows, shingle)
+    kind = parts.schema["node"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, 1, BATCH_ROWS):
+            sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
+            first = [prefix(s, least, frequent, counts).view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.list_(pa.int64()))], ["doc_id", "n", "first"])
+
+    sets = texts.mapInArrow(run, f"doc_id {kind}, n long, first array<long>")
+    index = sets.join(parts.hint("merge"), sets["doc_id"] == parts["node"]).select("node", "part", "n", F.posexplode("first").alias("i", "token"))
+    index = stored(index, "prefixes")
+    held = stored(gathered(index.select("token", "part").distinct(), rows), "prefix-parts")
+    shared = held.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token")
+    held = stored(gathered(held.join(shared, "token", "left_semi"), rows), "shared-parts")
+    x, y = (held.select("token", F.col("part").alias(f"part_{s}")) for s in "xy")
+    meets = stored(gathered(x.join(y.hint("merge"), "token").where("part_x < part_y"), rows), "meeting-parts")
+    x, y = (index.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("part", "node", "n", "i"))) for s in "xy")
+    met = meets.join(x.hint("merge"), ["token", "part_x"])
+    near = (100 * F.least("n_x", "n_y") >= least * F.greatest("n_x", "n_y")) & ((100 + least) * F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y")) >= least * (F.col("n_x") + F.col("n_y")))
+    met = met.join(y.hint("merge"), ["token", "part_y"]).where(near)
+    pairs = met.select(F.greatest("node_x", "node_y").alias("node"), F.least("node_x", "node_y").alias("v")).distinct()
+    return _confirmed(docs, stored(gathered(pairs, rows), "across-pairs"), shingle, least)
+
+
 def _without_giants(docs: DataFrame, sk: DataFrame, members: DataFrame, shingle: int, least: int) -> tuple[DataFrame, DataFrame | None]:
-    """members (node, component, n_shingles, known) with large clusters clustered anew, and the links confirmed on the way, if any were large.
+    """members (node, component, n_shingles, known) with large clusters clustered anew, and the links confirmed on the way, if any were large:
+    all that lie across the new clusters, and some within those that are still large.
     known: the least node that a node is connected with by these links, the node itself if there is none."""
     plain = members.withColumn("known", F.col("node"))
     giants = _sizes(members).where("giant").select("component")
@@ -172,15 +233,18 @@ def _without_giants(docs: DataFrame, sk: DataFrame, members: DataFrame, shingle:
     fine = fine.unionByName(fine.select(F.col("component").alias("node"), "component").distinct())
     fine = stored(gathered(fine.join(inside.select("node", "n_shingles"), "node"), rows), "fine-members")
     rest = members.join(giants, "component", "left_anti").unionByName(fine.select(members.columns))
+    parts = inside.select("node").distinct().join(fine.select("node", F.col("component").alias("part")).distinct(), "node", "left")
+    parts = stored(gathered(parts.select("node", F.coalesce("part", "node").alias("part")), rows), "parts")
+    across = stored(_across(docs, parts, parts.count(), shingle, least), "across")
     large = _sizes(fine).where("giant").select("component")
     if large.isEmpty():
-        return stored(gathered(rest.withColumn("known", F.col("node")), rows), "all-members"), None
+        return stored(gathered(rest.withColumn("known", F.col("node")), rows), "all-members"), across
     nodes = stored(gathered(fine.join(large, "component", "left_semi").select("node"), rows), "large-nodes")
     best = stars.join(nodes, "node", "left_semi").groupBy("node").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v"))
     confirmed = stored(_confirmed(docs, best, shingle, least), "confirmed")
     known = components(confirmed).select("node", F.col("component").alias("_known"))
     out = rest.join(known, "node", "left").withColumn("known", F.coalesce("_known", "node")).drop("_known")
-    return stored(gathered(out, rows), "all-members"), confirmed
+    return stored(gathered(out, rows), "all-members"), confirmed.unionByName(across)
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -69,6 +69,29 @@ def test_near_duplicates_among_boilerplate(spark, monkeypatch, documents, wide):
     assert rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")) == sorted(brute.near(rows), key=repr)
 
 
+def test_large_clusters_lose_no_link_that_shares_no_wide_band(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TASK_DOCUMENTS", 20)
+    monkeypatch.setattr(near_dedup, "WIDE_ROWS", 180)  # linked documents that differ share hardly any
+    rows = boilerplate_rows(7) + [(5000 + i, t) for i, t in near_rows()]
+    assert rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")) == sorted(brute.near(rows), key=repr)
+
+
+def test_prefixes_of_linked_sets_meet_in_any_order():
+    rng = np.random.default_rng(4)
+    linked = 0
+    for n in range(1, 200):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for least in (50, 85, 99):
+            gone = int(rng.integers(0, (100 - least) * n // 100 + 1))
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, int(rng.integers(0, n // 20 + 1)), dtype=np.uint64)]))
+            frequent = np.unique(rng.choice(np.union1d(a, b), n // 2 + 1))
+            counts = rng.integers(1, 9, len(frequent))
+            if near_dedup._linked(a, b, least):
+                linked += 1
+                assert len(np.intersect1d(near_dedup.prefix(a, least, frequent, counts), near_dedup.prefix(b, least, frequent, counts)))
+    assert linked > 300
+
+
 def test_bands_recall_links_of_the_least_similarity():
     rng = np.random.default_rng(3)
     narrow = wide = 0
