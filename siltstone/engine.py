@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 FILTER_BITS = 1 << 24
 #: Bits of the bitmaps that the engine's aggregate makes (fixed value).
 BITMAP_BITS = 32768
+#: How tables of the shared folder are written. In a local folder (file:) Hadoop starts several processes for each file, to set
+#: permissions of the file and of its checksum file; without checksum files, and without a marker of success, it is one. Each such process
+#: counts as a second JVM while it starts. Other file systems only miss the marker.
+TABLE_OPTIONS = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true", "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +35,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back. The folder goes when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siltstone-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**TABLE_OPTIONS).parquet(path)
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.engine import cannot_be_in, filter_of, may_be_in, stored
 
-__all__ = ["ascii_lower", "bounded", "filter_of", "gathered", "may_be_in", "shuffle_width", "stored", "table", "without"]
+__all__ = ["ascii_lower", "bounded", "dealt", "filter_of", "gathered", "may_be_in", "shuffle_width", "stored", "table", "without"]
 
 #: ASCII letters; ``lower`` alone would also fold letters beyond ASCII.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -50,6 +50,12 @@ def gathered(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(8, -(-rows // 200_000)))
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many partitions as so many narrow rows need, by a shuffle of its rows: for few rows that many long tasks return, which
+    would each write a file. The tasks stay as many as they are."""
+    return df.repartition(max(8, -(-rows // 200_000)))
+
+
 def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
     """docs without the rows that have a match in gone, a written table with the ids as _gone; same must ask for equal ids, too.
 

@@ -21,15 +21,17 @@ def _stars(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, at_most: int | None = None) -> DataFrame:
     """(node, component) for nodes of edges (u, v); component is the least node that can be reached, itself excluded from the rows.
+    at_most: how many edges there are at most, if known, so that few are written to few files.
 
     Each round writes its edges and the least neighbours of large stars to the shared folder. Skew: the aggregate is combined
     on the map side and a large star's rows meet by node in a join of written tables, which adaptive execution can split; it
     doesn't split one that shares its stage with an aggregate. Rounds grow with the logarithm of a component.
     """
     hi, lo = F.greatest("u", "v"), F.least("u", "v")
-    now = stored(edges.where("u <> v").select(hi.alias("u"), lo.alias("v")).distinct(), "links")
+    now = edges.where("u <> v").select(hi.alias("u"), lo.alias("v")).distinct()
+    now = stored(now if at_most is None else gathered(now, at_most), "links")
     mark, rows = None, now.count()
     while True:
         now = stored(gathered(_stars(_stars(now, True, rows), False, rows), rows), "stars")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import setsketch
-from siltstone.llm.common import bounded, filter_of, gathered, may_be_in, shuffle_width, stored, without
+from siltstone.llm.common import bounded, dealt, filter_of, gathered, may_be_in, shuffle_width, stored, without
 from siltstone.llm.components import components
 from siltstone.llm.words import hashed_words, runs_of
 
@@ -115,23 +115,25 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, least: int = LEA
     Rows with a null doc_id take no part and get a null component, not kept. An empty table gives an empty result. doc_id must be an integer column.
     """
     sk = stored(sketches(docs, shingle), "sketches")
+    n = sk.count()
     whole = sk.where("set_id IS NOT NULL AND doc_id IS NOT NULL")
     classes = whole.groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     # Sets of fewer than 6 shingles can't be both different and similar enough at 85 in 100.
     small = least // (100 - least) + 1
     reps = whole.where(F.col("n_shingles") >= small).groupBy("set_id").agg(F.min_by(F.struct("doc_id", "n_shingles", "bands"), "doc_id").alias("r"))
-    reps = stored(reps.select("r.*"), "representatives")
+    reps = stored(gathered(reps.select("r.*"), 8 * n), "representatives")  # a row is as wide as several narrow ones
     banded = reps.select("doc_id", F.explode("bands").alias("band"))
     stars = banded.groupBy("band").agg(F.min("doc_id").alias("v"), F.count("*").alias("g")).where("g > 1").drop("g")
-    loose = components(banded.join(stars, "band").select(F.col("doc_id").alias("u"), "v"))
+    loose = components(banded.join(stars, "band").select(F.col("doc_id").alias("u"), "v"), setsketch.REGISTERS // setsketch.ROWS * n)
     members = loose.unionByName(loose.select(F.col("component").alias("node"), "component").distinct())
-    members = stored(members.join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node"), "members")
+    members = stored(gathered(members.join(reps.select(F.col("doc_id").alias("node"), "n_shingles"), "node"), n), "members")
     members, confirmed = _without_giants(docs, sk, members, shingle, least)
-    links = _links(docs, members, shingle, least)
-    links = stored(links if confirmed is None else links.unionByName(confirmed), "forest")
-    linked = components(links)
+    n_members = members.count()
+    forest = stored(dealt(_links(docs, members, n_members, shingle, least), n_members), "forest")
+    linked = components(forest if confirmed is None else forest.unionByName(confirmed), 2 * n_members)
     # Written, so that adaptive execution can split the join that follows where a set has many rows; rows without a set stay out of it.
-    answer = stored(classes.join(linked, classes["rep"] == linked["node"], "left").select("set_id", "rep", F.coalesce("component", "rep").alias("root")), "classes")
+    answer = classes.join(linked, classes["rep"] == linked["node"], "left").select("set_id", "rep", F.coalesce("component", "rep").alias("root"))
+    answer = stored(gathered(answer, n), "classes")
     flat = sk.select("doc_id", "n_shingles", "set_id")
     alone = flat.where("set_id IS NULL").select("set_id", "doc_id", "n_shingles", F.col("doc_id").alias("rep"), F.col("doc_id").alias("root"))
     out = flat.where("set_id IS NOT NULL").join(answer, "set_id", "left").unionByName(alone)
@@ -201,7 +203,7 @@ def _across(docs: DataFrame, parts: DataFrame, rows: int, shingle: int, least: i
 
     sets = texts.mapInArrow(run, f"doc_id {kind}, n long, first array<long>")
     index = sets.join(parts.hint("merge"), sets["doc_id"] == parts["node"]).select("node", "part", "n", F.posexplode("first").alias("i", "token"))
-    index = stored(index, "prefixes")
+    index = stored(gathered(index, 32 * rows), "prefixes")
     held = stored(gathered(index.select("token", "part").distinct(), rows), "prefix-parts")
     shared = held.groupBy("token").agg(F.count("*").alias("g")).where("g > 1").select("token")
     held = stored(gathered(held.join(shared, "token", "left_semi"), rows), "shared-parts")
@@ -212,7 +214,8 @@ def _across(docs: DataFrame, parts: DataFrame, rows: int, shingle: int, least: i
     near = (100 * F.least("n_x", "n_y") >= least * F.greatest("n_x", "n_y")) & ((100 + least) * F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y")) >= least * (F.col("n_x") + F.col("n_y")))
     met = met.join(y.hint("merge"), ["token", "part_y"]).where(near)
     pairs = met.select(F.greatest("node_x", "node_y").alias("node"), F.least("node_x", "node_y").alias("v")).distinct()
-    return _confirmed(docs, stored(gathered(pairs, rows), "across-pairs"), shingle, least)
+    pairs = stored(gathered(pairs, rows), "across-pairs")
+    return _confirmed(docs, pairs, pairs.count(), shingle, least)
 
 
 def _without_giants(docs: DataFrame, sk: DataFrame, members: DataFrame, shingle: int, least: int) -> tuple[DataFrame, DataFrame | None]:
@@ -229,20 +232,20 @@ def _without_giants(docs: DataFrame, sk: DataFrame, members: DataFrame, shingle:
     wide = stored(_wide_bands(sk, inside.select("node", "component")), "wide-bands")
     hubs = stored(gathered(wide.groupBy("component", "band").agg(F.min("node").alias("v"), F.count_distinct("node").alias("g")).where("g > 1").drop("g"), WIDE_BANDS * rows), "hubs")
     stars = stored(wide.join(hubs, ["component", "band"]).where("node <> v").groupBy("node", "v").agg(F.count("*").alias("n")).transform(gathered, WIDE_BANDS * rows), "wide-stars")
-    fine = components(stars.select(F.col("node").alias("u"), "v"))
+    fine = components(stars.select(F.col("node").alias("u"), "v"), WIDE_BANDS * rows)
     fine = fine.unionByName(fine.select(F.col("component").alias("node"), "component").distinct())
     fine = stored(gathered(fine.join(inside.select("node", "n_shingles"), "node"), rows), "fine-members")
     rest = members.join(giants, "component", "left_anti").unionByName(fine.select(members.columns))
     parts = inside.select("node").distinct().join(fine.select("node", F.col("component").alias("part")).distinct(), "node", "left")
     parts = stored(gathered(parts.select("node", F.coalesce("part", "node").alias("part")), rows), "parts")
-    across = stored(_across(docs, parts, parts.count(), shingle, least), "across")
+    across = stored(dealt(_across(docs, parts, parts.count(), shingle, least), rows), "across")
     large = _sizes(fine).where("giant").select("component")
     if large.isEmpty():
         return stored(gathered(rest.withColumn("known", F.col("node")), rows), "all-members"), across
     nodes = stored(gathered(fine.join(large, "component", "left_semi").select("node"), rows), "large-nodes")
     best = stars.join(nodes, "node", "left_semi").groupBy("node").agg(F.max_by("v", F.struct("n", -F.col("v"))).alias("v"))
-    confirmed = stored(_confirmed(docs, best, shingle, least), "confirmed")
-    known = components(confirmed).select("node", F.col("component").alias("_known"))
+    confirmed = stored(dealt(_confirmed(docs, best, rows, shingle, least), rows), "confirmed")
+    known = components(confirmed, rows).select("node", F.col("component").alias("_known"))
     out = rest.join(known, "node", "left").withColumn("known", F.coalesce("_known", "node")).drop("_known")
     return stored(gathered(out, rows), "all-members"), confirmed.unionByName(across)
 
@@ -252,12 +255,12 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return may_be_in(docs.select("doc_id", "text"), F.col("doc_id"), filter_of(nodes, "node"))
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, least: int) -> DataFrame:
-    """(u, v) of those of pairs (node, v) that are links. A v with many partners is copied to tasks of bounded size."""
+def _confirmed(docs: DataFrame, pairs: DataFrame, n: int, shingle: int, least: int) -> DataFrame:
+    """(u, v) of those of pairs (node, v), at most n, that are links. A v with many partners is copied to tasks of bounded size."""
     sizes = pairs.groupBy("v").agg(F.ceil(F.count("*") * 2 / TASK_DOCUMENTS).cast("int").alias("k"))
-    dealt = pairs.join(sizes, "v").select("v", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("b"), "node")
+    spread = pairs.join(sizes, "v").select("v", F.pmod(F.xxhash64("node"), F.col("k")).cast("int").alias("b"), "node")
     hubs = sizes.select("v", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("b"), F.col("v").alias("node"))
-    wanted = stored(dealt.unionByName(hubs), "confirm")
+    wanted = stored(gathered(spread.unionByName(hubs), 2 * n), "confirm")
     d = _texts_of(docs, wanted)
     rows = d.join(wanted.hint("merge"), d["doc_id"] == wanted["node"]).select("v", "b", "doc_id", "text")
 
@@ -271,7 +274,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, shingle: int, least: int) -> D
     return rows.repartition(4 * shuffle_width(docs.sparkSession), "v", "b").groupBy("v", "b").applyInArrow(run, "u long, v long")
 
 
-def _links(docs: DataFrame, members: DataFrame, shingle: int, least: int) -> DataFrame:
+def _links(docs: DataFrame, members: DataFrame, n_members: int, shingle: int, least: int) -> DataFrame:
     """(u, v) of spanning links within clusters. A cluster too large for one task is dealt into blocks, and pairs of blocks are
     tasks: connected members that fill a block or more have blocks of their own, which are not compared with each other."""
     half = F.lit(TASK_DOCUMENTS / 2)
@@ -282,7 +285,8 @@ def _links(docs: DataFrame, members: DataFrame, shingle: int, least: int) -> Dat
     blocks = F.when(F.col("pure"), F.ceil(full * F.col("own") / F.col("g"))).otherwise(full).cast("int")
     spread = F.when(F.col("pure"), F.xxhash64("node")).otherwise(F.xxhash64("known"))
     kind = F.when(F.col("pure"), F.col("known"))
-    m = stored(sized.select("component", "node", "known", "giant", kind.alias("kind"), F.when(F.col("giant"), F.pmod(spread, blocks)).otherwise(0).cast("int").alias("b")), "blocks")
+    m = sized.select("component", "node", "known", "giant", kind.alias("kind"), F.when(F.col("giant"), F.pmod(spread, blocks)).otherwise(0).cast("int").alias("b"))
+    m = stored(gathered(m, n_members), "blocks")
     tasks = m.where("NOT giant").select("component", F.lit(0).cast("long").alias("task"), F.lit(0).alias("side"), "node", "known")
     if not m.where("giant").isEmpty():
         tasks = tasks.unionByName(_block_pairs(m.where("giant")))
@@ -316,5 +320,6 @@ def _block_pairs(m: DataFrame) -> DataFrame:
 
 def drop_near(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; rows with a null doc_id stay."""
-    gone = stored(near_duplicates(docs).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    gone = near_duplicates(docs).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = stored(gathered(gone, docs.count()), "gone")
     return without(docs, gone, docs["doc_id"] == gone["_gone"])

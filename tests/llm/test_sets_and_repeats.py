@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
@@ -76,6 +77,25 @@ def test_large_clusters_lose_no_link_that_shares_no_wide_band(spark, monkeypatch
     assert rows_of(near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")) == sorted(brute.near(rows), key=repr)
 
 
+def test_small_tables_of_many_tasks_go_to_few_files(spark, monkeypatch):
+    files = {}
+
+    def spy(df, label, real=near_dedup.stored):
+        out = real(df, label)
+        files[label] = out.inputFiles()
+        return out
+
+    monkeypatch.setattr(near_dedup, "stored", spy)
+    r = random.Random(6)
+    texts = [[f"w{r.randint(0, 10**6)}" for _ in range(60)] for _ in range(60)]
+    rows = [(2 * i + j, " ".join(t + ["end"] * j)) for i, t in enumerate(texts) for j in (0, 1)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).drop("class_id")
+    assert rows_of(got) == sorted(brute.near(rows), key=repr) and got.where("NOT kept").count() == 60
+    assert len(files["forest"]) <= 8
+    for path in files["forest"]:  # neither checksum files nor a marker
+        assert {x.name[:5] for x in Path(path.removeprefix("file:")).parent.iterdir()} == {"part-"}
+
+
 def test_prefixes_of_linked_sets_meet_in_any_order():
     rng = np.random.default_rng(4)
     linked = 0
