@@ -44,16 +44,21 @@ def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int
             yield batch.slice(at)
 
 
+def few_files(rows: int) -> int:
+    """Files for so many narrow rows: one for 25,000, up to 8, and beyond 1.6 million one for 200,000."""
+    return max(1, min(8, -(-rows // 25_000)), -(-rows // 200_000))
+
+
 def gathered(df: DataFrame, rows: int) -> DataFrame:
     """df in as many partitions as so many narrow rows need, so that small tables don't become a file for each shuffle partition.
     Never more partitions than df has, so that large tables stay as they are."""
-    return df.coalesce(max(8, -(-rows // 200_000)))
+    return df.coalesce(few_files(rows))
 
 
 def dealt(df: DataFrame, rows: int) -> DataFrame:
     """df in as many partitions as so many narrow rows need, by a shuffle of its rows: for few rows that many long tasks return, which
     would each write a file. The tasks stay as many as they are."""
-    return df.repartition(max(8, -(-rows // 200_000)))
+    return df.repartition(few_files(rows))
 
 
 def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:

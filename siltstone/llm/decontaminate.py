@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import ascii_lower, filter_of, may_be_in, stored, without
+from siltstone.llm.common import ascii_lower, filter_of, gathered, may_be_in, stored, without
 
 WINDOW = 10
 #: The probe table is broadcast up to so many windows and bytes of their words; beyond, documents meet it in a shuffled join.
@@ -31,13 +31,14 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return each.groupBy("win").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def _with_prefix(windows: DataFrame, docs: DataFrame, few: bool) -> DataFrame:
-    """(id, win, len, prefix, off): the rarest word of each window, and its first place there. Rarity counts all documents; ties go by the word."""
+def _with_prefix(windows: DataFrame, docs: DataFrame, few: bool, words_there: int) -> DataFrame:
+    """(id, win, len, prefix, off): the rarest word of each window, and its first place there. Rarity counts all documents; ties go by the word.
+    words_there: how many words the windows have at most."""
     vocabulary = windows.select(F.explode("win").alias("word")).distinct()
     seen = docs.select(F.explode(words(F.col("text"))).alias("word"))
     kept = seen.join(F.broadcast(vocabulary) if few else vocabulary, "word", "left_semi")
     # Written, as adaptive execution doesn't split a join that shares its stage with an aggregate; a word can be in most windows.
-    rarity = stored(kept.groupBy("word").agg(F.count("*").alias("n")), "rarity")
+    rarity = stored(gathered(kept.groupBy("word").agg(F.count("*").alias("n")), words_there), "rarity")
     each = windows.select("id", F.posexplode("win").alias("off", "word")).join(rarity, "word", "left")
     first = each.groupBy("id").agg(F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")), "word", "off")).alias("p"))
     return windows.select("id", "win").join(first, "id").select("id", "win", F.size("win").alias("len"), F.col("p.word").alias("prefix"), F.col("p.off").alias("off"))
@@ -45,10 +46,12 @@ def _with_prefix(windows: DataFrame, docs: DataFrame, few: bool) -> DataFrame:
 
 def _prepared(docs: DataFrame, benchmark: DataFrame, window: int, broadcast_windows: int) -> tuple[DataFrame, DataFrame, bool]:
     """Written windows (id, win, items) and their probe table, and whether it may be broadcast."""
-    windows = stored(item_windows(benchmark, window).withColumn("id", F.monotonically_increasing_id()), "windows")
+    chars = benchmark.agg(F.sum(F.char_length("text"))).first()[0] or 0  # at least twice the words, and so the windows, but for one an item
+    windows = stored(gathered(item_windows(benchmark, window), chars).withColumn("id", F.monotonically_increasing_id()), "windows")
     size = windows.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.array_join("win", " "))).alias("bytes")).first()
     few = size["n"] <= broadcast_windows and (size["bytes"] or 0) <= BROADCAST_BYTES
-    return windows, stored(_with_prefix(windows, docs, few), "probe"), few
+    probe = _with_prefix(windows, docs, few, window * size["n"])
+    return windows, stored(gathered(probe, 4 * size["n"]), "probe"), few  # a row is as wide as several narrow ones
 
 
 def _probed(docs: DataFrame, probe: DataFrame, few: bool, window: int) -> DataFrame:
@@ -104,5 +107,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs without the documents that hold a window of an item."""
-    gone = stored(hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct(), "gone")
+    gone = hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct()
+    gone = stored(gathered(gone, docs.count()), "gone")
     return without(docs, gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_key"]))

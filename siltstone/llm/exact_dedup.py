@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import shuffle_width, stored, without
+from siltstone.llm.common import dealt, gathered, stored, without
 
 #: Characters of a block, and distinct blocks (about) in a sorted bucket.
 BLOCK_CHARS = 4096
@@ -65,9 +65,10 @@ def exact_groups(docs: DataFrame, *, block_chars: int = BLOCK_CHARS, fingerprint
     text = normalised(F.col("text"))
     rows = docs.select("doc_id", text.alias("t")).select("doc_id", F.sha2(F.col("t"), 256).alias("sha"), _blocks(F.col("t"), block_chars).alias("blocks"))
 
-    size = docs.select(F.sum(F.ceil(F.char_length(F.coalesce(F.col("text"), F.lit(""))) / block_chars) + 1)).first()[0] or 1
-    buckets = max(1, math.ceil(int(size) / BUCKET_BLOCKS))
-    names = stored(_named_blocks(rows, fingerprint, buckets), "block-names")
+    size = int(docs.select(F.sum(F.ceil(F.char_length(F.coalesce(F.col("text"), F.lit(""))) / block_chars) + 1)).first()[0] or 1)
+    buckets = max(1, math.ceil(size / BUCKET_BLOCKS))
+    # No table on the way has more rows than size. The tasks that sort blocks stay as many as they are.
+    names = stored(dealt(_named_blocks(rows, fingerprint, buckets), size), "block-names")
     clash = not names.where("twin").isEmpty()
 
     hashes = F.transform("blocks", lambda b: fingerprint(b).cast("long"))
@@ -78,7 +79,8 @@ def exact_groups(docs: DataFrame, *, block_chars: int = BLOCK_CHARS, fingerprint
     else:
         seen = rows.select("doc_id", "sha", F.size("blocks").alias("n"), F.posexplode(hashes).alias("pos", "h"))
         met = seen["h"] == names["h"]
-    level = stored(seen.join(names, met).select("doc_id", "sha", "n", "pos", "name", F.lit(1).cast("long").alias("m")), "block-ids")
+    level = seen.join(names, met).select("doc_id", "sha", "n", "pos", "name", F.lit(1).cast("long").alias("m"))
+    level = stored(gathered(level, 2 * size), "block-ids")  # a row holds 64 characters of sha
 
     done = [level.where("n = 1").select("doc_id", "sha", "m", F.lit(0).alias("level"), "name")]
     longest = level.agg(F.max("n")).first()[0] or 1
@@ -88,16 +90,18 @@ def exact_groups(docs: DataFrame, *, block_chars: int = BLOCK_CHARS, fingerprint
         many = F.max("m") if counted else F.sum(F.when(even, F.col("m")))
         pairs = current.groupBy("doc_id", "sha", "n", (F.col("pos") / 2).cast("int").alias("at")).agg(
             F.max(F.when(even, F.col("name"))).alias("l"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1).cast("long")).alias("r"), many.alias("m"))
-        pairs, counted = stored(pairs, f"pairs-{k}"), True
+        pairs, counted = stored(gathered(pairs, size), f"pairs-{k}"), True
         met = pairs.join(_named_pairs(pairs, max(1, buckets // 8)), ["l", "r"])
-        current = stored(met.select("doc_id", "sha", ((F.col("n") + 1) / 2).cast("int").alias("n"), F.col("at").alias("pos"), "name", "m"), f"names-{k}")
+        current = met.select("doc_id", "sha", ((F.col("n") + 1) / 2).cast("int").alias("n"), F.col("at").alias("pos"), "name", "m")
+        current = stored(gathered(current, size), f"names-{k}")
         done.append(current.where("n = 1").select("doc_id", "sha", "m", F.lit(k).alias("level"), "name"))
         current = current.where("n > 1")
     ids = done[0]
     for more in done[1:]:
         ids = ids.unionByName(more)
     # Written, as adaptive execution doesn't split a join that shares its stage with an aggregate; a large group of copies is one name.
-    groups = stored(ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("m").alias("group_size")), "groups")
+    groups = ids.groupBy("level", "name").agg(F.min("doc_id").alias("keep_id"), F.sum("m").alias("group_size"))
+    groups = stored(gathered(groups, size), "groups")
     out = ids.join(groups, ["level", "name"])
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
     return out.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
@@ -108,5 +112,6 @@ def drop_exact(docs: DataFrame) -> DataFrame:
 
     Rows go by doc_id and normalised text together. Of rows that repeat a doc_id, one with a text of its own stays when
     another is a copy; rows that repeat both doc_id and text stay or go together, as nothing tells them apart."""
-    gone = stored(exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")), "gone")
+    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha"))
+    gone = stored(gathered(gone, docs.count()), "gone")
     return without(docs, gone, (docs["doc_id"] == gone["_gone"]) & (F.sha2(normalised(docs["text"]), 256) == gone["_sha"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import stored
+from siltstone.llm.common import gathered, stored
 
 #: Documents of a sample, at most.
 SAMPLE_ROWS = 4000
@@ -22,7 +22,8 @@ def drawn(docs: DataFrame, ids: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame
     first = ids.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     d = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     got = d.join(F.broadcast(first), "doc_id")  # rows bounds what is broadcast
-    return stored(got.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text")), "sample")
+    got = got.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text"))
+    return stored(gathered(got, 50 * rows), "sample")  # a whole text is as wide as many narrow rows
 
 
 def training_labels(labels: DataFrame, column: str, parts: int, part: int) -> DataFrame:

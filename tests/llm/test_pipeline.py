@@ -65,3 +65,31 @@ def test_run_on_empty_tables(spark, tmp_path):
     for name, query in __spark_entry__.queries().items():
         if name.startswith(("op1_", "op2_", "op3_", "op4_", "op6_", "op7_", "op8_", "op9_", "op10_")):
             assert query(spark, str(tmp_path)).collect() == []
+
+
+def test_tables_on_the_way_are_few_files(spark, monkeypatch):
+    from siltstone.llm import components, decontaminate, exact_dedup, labelled, near_dedup
+
+    files = {}
+
+    def spy(df, label, real=exact_dedup.stored):
+        out = real(df, label)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    sf = "/root/testdata/sf0.001"
+    plain = sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").collect())
+    for module in (components, decontaminate, exact_dedup, labelled, near_dedup):
+        monkeypatch.setattr(module, "stored", spy)
+    many = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == plain
+    assert {"sample", "block-names", "block-ids", "groups", "gone", "windows", "rarity", "probe"} <= set(files)
+    assert max(files.values()) <= 8, files
