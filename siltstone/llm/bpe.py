@@ -137,31 +137,31 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_ENCODERS: dict[tuple[str, str, int], Encoder] = {}
 
 
-def _encoder(content: bytes, pattern: str) -> Encoder:
+def _encoder(content: bytes, pattern: str, memo_entries: int) -> Encoder:
     """One encoder for each vocabulary in a worker process."""
-    key = (hashlib.sha256(content).hexdigest(), pattern)
+    key = (hashlib.sha256(content).hexdigest(), pattern, memo_entries)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(read_ranks(content), pattern)
+        _ENCODERS[key] = Encoder(read_ranks(content), pattern, memo_entries)
     return _ENCODERS[key]
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, *, memo_entries: int = MEMO_ENTRIES) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) and decoded (binary, the bytes that the ids stand for).
 
     vocabulary: path of a rank file, read once by the driver. A null or empty text has no ids. Each row is
     encoded by itself, so repeated rows and doc_ids, null doc_ids and empty tables need no rule; only doc_id
-    and text are read. No row is shuffled.
+    and text are read. No row is shuffled. memo_entries: pre-tokens in each generation of a worker's memory; it changes cost alone.
     """
     with open(vocabulary, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = next(f.dataType.simpleString() for f in docs.schema if f.name == "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(content.value, pattern)
+        own = _encoder(content.value, pattern, memo_entries)
         for batch in bounded(batches, 1, BATCH_ROWS):
             ids = [own.encode(t) if t else b"" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([own.decode(x) for x in ids], pa.binary())], ["doc_id", "ids", "decoded"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.engine import cannot_be_in, filter_of, may_be_in, stored
+from siltstone.engine import FILTER_BITS, cannot_be_in, filter_of, may_be_in, stored
 
 __all__ = ["ascii_lower", "bounded", "dealt", "filter_of", "gathered", "may_be_in", "shuffle_width", "stored", "table", "without"]
 
@@ -32,7 +33,8 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of batches with at most so many rows and bytes of a text column, unless one text alone has more. Null texts have none."""
+    """Slices of batches with at most so many rows and bytes of a text column, unless one text alone has more. Null texts have none.
+    After each batch the worker gives back memory that Arrow holds but doesn't use; idle workers stay, and count with their executor."""
     for batch in batches:
         ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)).cast(pa.int64()), 0)).to_pylist()
         at, before = 0, 0
@@ -42,6 +44,8 @@ def bounded(batches: Iterator[pa.RecordBatch], column: int, rows: int, size: int
                 at, before = i, ends[i - 1]
         if at < batch.num_rows:
             yield batch.slice(at)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def few_files(rows: int) -> int:
@@ -61,15 +65,17 @@ def dealt(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(few_files(rows))
 
 
-def without(docs: DataFrame, gone: DataFrame, same: Column) -> DataFrame:
-    """docs without the rows that have a match in gone, a written table with the ids as _gone; same must ask for equal ids, too.
+def without(docs: DataFrame, gone: DataFrame, same: Column, rows: int) -> DataFrame:
+    """docs, of so many rows, without those that have a match in gone, a written table with the ids as _gone; same must ask for equal ids, too.
 
     Rows whose id can't be among those, by a filter of 2 MB, stay where they are; only the others are shuffled to the join, a
-    merge join at any size, so that cost grows with the input alone. docs is read twice.
+    merge join at any size, so that cost grows with the input alone. Hardly any of those stay, so few partitions come out of it. docs is read twice.
     """
     bits = filter_of(gone, "_gone")
     some = may_be_in(docs, docs["doc_id"], bits)
     # An anti join would be pushed below the filter, and all rows shuffled to it.
     met = some.join(gone.withColumn("_siltstone_hit", F.struct("_gone")).hint("merge"), same, "left")
     kept = met.where(F.col("_siltstone_hit").isNull()).select(*(some[c] for c in docs.columns))
-    return cannot_be_in(docs, docs["doc_id"], bits).unionByName(kept)
+    n = gone.count()
+    met_rows = n + math.ceil(rows * min(1, n / FILTER_BITS))
+    return cannot_be_in(docs, docs["doc_id"], bits).unionByName(gathered(kept, 8 * met_rows))  # a document is as wide as several narrow rows

@@ -108,5 +108,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """docs without the documents that hold a window of an item."""
     gone = hits(docs, benchmark, window=window).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct()
-    gone = stored(gathered(gone, docs.count()), "gone")
-    return without(docs, gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_key"]))
+    rows = docs.count()
+    gone = stored(gathered(gone, rows), "gone")
+    return without(docs, gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_key"]), rows)

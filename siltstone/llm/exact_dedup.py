@@ -113,5 +113,6 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     Rows go by doc_id and normalised text together. Of rows that repeat a doc_id, one with a text of its own stays when
     another is a copy; rows that repeat both doc_id and text stay or go together, as nothing tells them apart."""
     gone = exact_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha"))
-    gone = stored(gathered(gone, docs.count()), "gone")
-    return without(docs, gone, (docs["doc_id"] == gone["_gone"]) & (F.sha2(normalised(docs["text"]), 256) == gone["_sha"]))
+    rows = docs.count()
+    gone = stored(gathered(gone, rows), "gone")
+    return without(docs, gone, (docs["doc_id"] == gone["_gone"]) & (F.sha2(normalised(docs["text"]), 256) == gone["_sha"]), rows)

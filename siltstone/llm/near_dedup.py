@@ -321,5 +321,6 @@ def _block_pairs(m: DataFrame) -> DataFrame:
 def drop_near(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, the one with the smallest doc_id; rows with a null doc_id stay."""
     gone = near_duplicates(docs).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = stored(gathered(gone, docs.count()), "gone")
-    return without(docs, gone, docs["doc_id"] == gone["_gone"])
+    rows = docs.count()
+    gone = stored(gathered(gone, rows), "gone")
+    return without(docs, gone, docs["doc_id"] == gone["_gone"], rows)

@@ -2,6 +2,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -93,3 +94,30 @@ def test_tables_on_the_way_are_few_files(spark, monkeypatch):
     assert got == plain
     assert {"sample", "block-names", "block-ids", "groups", "gone", "windows", "rarity", "probe"} <= set(files)
     assert max(files.values()) <= 8, files
+
+
+def test_documents_that_may_go_come_back_in_few_partitions(spark):
+    from siltstone.llm import common
+
+    docs = common.stored(spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")), "docs")
+    gone = common.stored(spark.range(0, 3000, 2).select(F.col("id").alias("_gone"), (F.col("id") % 3).alias("_x")), "gone")
+    many = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        out = common.without(docs, gone, (docs["doc_id"] == gone["_gone"]) & (gone["_x"] > 0), 3000)
+        got, files = sorted(r["doc_id"] for r in out.collect()), len(common.stored(out, "left").inputFiles())
+        assert got == [i for i in range(3000) if i % 2 or i % 3 == 0]
+        assert files <= docs.rdd.getNumPartitions() + 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_small_memo_gives_the_same_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(50)
+    small = bpe.encode_documents(docs, corpus_pipeline.VOCABULARY, public_tokenizers.PATTERN, memo_entries=10)
+    plain = bpe.encode_documents(docs, corpus_pipeline.VOCABULARY, public_tokenizers.PATTERN)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, plain.collect()))
+    assert corpus_pipeline.MEMO_ENTRIES < bpe.MEMO_ENTRIES
