@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from siltstone import catalog
 from siltstone.functions import metrics as M
 from siltstone.functions import text as T
 from siltstone.operators import corpus, dedupe, evaluate, export, ontology, records, reports, tasks
@@ -345,6 +346,20 @@ def test_terms_longest_first_and_whole_words(spark):
     assert got == [(1, "G"), (2, "E"), (2, "S"), (4, "A"), (4, "S")]
 
 
+def test_term_match_as_its_sql_on_labels_and_marks(spark, tmp_path):
+    import duckdb
+
+    from siltstone.plans import training
+
+    texts = ["A thing of the cell", "thing", "of-the end of the line", "of-the and proof theory", "of\nthe cell", "of-the cell", "THE, cell_ and-of the", "a salt of  the", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW benchmark AS SELECT * FROM read_parquet('{tmp_path}/benchmark.parquet/*.parquet')")
+    got = training.term_match(spark, str(tmp_path)).select("item_id", "id", "term", "start").collect()
+    want = con.execute(f"SELECT item_id, id, term, start FROM ({catalog.ORACLE_SQL['term_match']})").fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and not any(r["term"] == "thing" for r in got)
+
+
 def test_hierarchy_with_a_cycle(spark):
     c = spark.createDataFrame([("a", "A", None, None, None, "b"), ("b", "B", None, "is b", None, "a"), ("x", "MyCell", None, None, None, "gone")], "id string, label string, alt_label string, definition string, formula string, parent_id string")
     assert sorted((r["id"], r["depth"], r["ancestor"]) for r in ontology.ancestors(c).collect()) == [("a", 0, "a"), ("a", 1, "b"), ("b", 0, "b"), ("b", 1, "a"), ("x", 0, "x")]
