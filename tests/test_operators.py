@@ -328,6 +328,55 @@ def test_copies_get_the_least_key_of_all_they_duplicate(spark):
         assert [r["duplicate_of"] for r in dedupe.mark_duplicates(df, "id", F.col("t"), ["b"]).orderBy("id").collect()] == want
 
 
+def moved_bytes(spark):
+    """Bytes that all stages so far have shuffled, spilled and written."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(x.shuffleWriteBytes() + x.diskBytesSpilled() + x.outputBytes() for x in (stages.apply(i) for i in range(stages.size())))
+
+
+def test_near_duplicates_of_texts_with_a_common_line_move_little(spark, tmp_path):
+    import random
+
+    r = random.Random(5)
+    text = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    line = text(120)
+    rows = [(i, f"{text(150)} {line} {text(150)}", "b") for i in range(400)]
+    rows += [(1000 + i, rows[7][1] + f" end{i}", "b") for i in range(3)]
+    spark.createDataFrame(rows, "id long, t string, b string").write.parquet(str(tmp_path / "d"))
+    before, df = moved_bytes(spark), spark.read.parquet(str(tmp_path / "d"))
+    got = {x["id"]: x["duplicate_of"] for x in dedupe.mark_duplicates(df, "id", F.col("t"), ["b"]).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == {1000: 7, 1001: 7, 1002: 7} and len(got) == len(rows)
+    assert moved_bytes(spark) - before < sum(len(x[1]) for x in rows)
+
+
+@pytest.mark.parametrize("cell", [10, 1_000_000])
+def test_near_duplicates_as_by_brute_force(spark, monkeypatch, cell):
+    import random
+
+    monkeypatch.setattr(dedupe, "SAMPLE", 2)
+    monkeypatch.setattr(dedupe, "CELL", cell)
+    r = random.Random(11)
+    texts = []
+    for i in range(160):
+        if i % 4 == 0 or not texts:
+            w = [r.choice("abcdefghij") + str(r.randrange(4)) for _ in range(r.choice((0, 1, 2, 3, 5, 9, 14, 40, 90)))]
+        else:
+            w = list(texts[r.randrange(len(texts))])
+            for _ in range(r.randrange(4)):
+                w.insert(r.randrange(len(w) + 1), r.choice("abc"))
+        texts.append(w)
+    rows = [(i, " ".join(w) if i != 50 else None, "xy"[i % 2] if i % 40 else None) for i, w in enumerate(texts)]
+    sets = {i: {tuple(t.split()[p:p + 3]) for p in range(max(len(t.split()) - 2, 1))} if t else set() for i, t, _ in rows}
+    like = lambda x, y: bool(x and y) and len(x & y) >= 0.85 * len(x | y) - 1e-9
+    want = {i: min((j for j, _, c in rows[:i] if b is not None and b == c and like(sets[i], sets[j])), default=None) for i, _, b in rows}
+    got = {x["id"]: x["duplicate_of"] for x in dedupe.mark_duplicates(spark.createDataFrame(rows, "id long, t string, b string"), "id", F.col("t"), ["b"]).collect()}
+    assert got == want and sum(v is not None for v in want.values()) > 20
+    links = {(x["duplicate"], x["original"]) for x in dedupe.duplicate_links(spark.createDataFrame(rows, "id long, t string, b string"), "id", F.col("t"), ["b"]).collect()}
+    assert all(like(sets[a], sets[b]) and b < a for a, b in links)
+
+
 def test_exports_guard_and_number(spark):
     docs = spark.createDataFrame([("d1", "train", "CC-BY-4.0", "t1", None, False), ("d2", None, "CC-BY-4.0", "t2", None, False), ("d3", "train", "CC-BY-NC-4.0", "t3", "10/x", False), ("d4", "eval", "CC0-1.0", "t4", None, True)], "doc_id string, split string, license string, title string, doi string, blacklisted boolean")
     chunks = spark.createDataFrame([("c1", "d1", "one"), ("c2", "d1", " \n"), ("c3", "d2", "two"), ("c4", "d3", "three"), ("c5", "d4", "four")], "chunk_id string, doc_id string, text string")
