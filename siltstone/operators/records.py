@@ -193,25 +193,34 @@ def check_grounding(rows: DataFrame, statement: Column, source: Column, least: f
     return rows.withColumn("overlap", T.overlap_ratio(statement, source)).withColumn("status", F.when(good, "generated").otherwise("rejected")).withColumn("reject_reason", F.when(~good, "not_grounded"))
 
 
-def grounded_sources(statements: DataFrame, key: str, statement: Column, sources: DataFrame, source_key: str, source: Column, least: float = 0.6) -> DataFrame:
+#: Statements and their words are broadcast up to so many words and bytes; beyond, sources meet them in shuffled joins.
+BROADCAST_WORDS, BROADCAST_BYTES = 100_000, 4_000_000
+
+
+def grounded_sources(statements: DataFrame, key: str, statement: Column, sources: DataFrame, source_key: str, source: Column, least: float = 0.6, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """(key, source_key, overlap): all sources that hold at least ``least`` of a statement's distinct words. Statements without words have none.
 
     A prefix-filtered join: of n words at least ceil(least * n) must be there, so one of any n - ceil(least * n) + 1 is.
-    The rarest words of all sources make this prefix. Sources are reduced to words that some statement has and written
-    once, as counting, joining and confirming read them; only pairs that share a prefix word are ever made.
+    The rarest words of all sources make this prefix. Sources are reduced to the numbers of words that some statement has and
+    written once, as counting, joining and confirming read them; only pairs that share a prefix word are ever made. A source's
+    candidates are one row of keys, and texts and words are never sent to pairs while the statements are few.
     """
-    s = statements.select(F.col(key), F.array_sort(F.array_distinct(T.words(statement))).alias("_s")).where(F.size("_s") > 0)
-    vocabulary = s.select(F.explode("_s").alias("_word")).distinct()
-    each = sources.select(F.col(source_key), F.explode(F.array_distinct(T.words(source))).alias("_word")).join(vocabulary, "_word", "left_semi")
-    w = stored(each.groupBy(source_key).agg(F.collect_set("_word").alias("_w")), "source-words")
-    rarity = w.select(F.explode("_w").alias("_word")).groupBy("_word").agg(F.count("*").alias("_n"))
-    ranked = s.select(key, F.explode("_s").alias("_word")).join(rarity, "_word", "left").groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0).cast("long")).alias("n"), F.col("_word").alias("w")))).alias("_r"))
-    n = F.size("_r")
-    words_of = F.transform("_r", lambda x: x["w"])
-    prefix = stored(ranked.select(key, words_of.alias("_s"), F.explode(F.slice(words_of, F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))).alias("_word")), "prefixes")
-    pairs = w.select(source_key, F.explode("_w").alias("_word")).join(prefix.drop("_s"), "_word").select(key, source_key).distinct()
-    whole = pairs.join(prefix.select(key, "_s").distinct(), key).join(w, source_key)
-    return whole.select(key, source_key, T.overlap_of(F.col("_s"), F.col("_w")).alias("overlap")).where(F.col("overlap") >= least)
+    s = stored(statements.select(F.col(key).alias("_key"), F.array_distinct(T.words(statement)).alias("_s")), "statements").where(F.size("_s") > 0)
+    vocabulary = stored(s.select(F.explode("_s").alias("_word")).distinct().withColumn("_id", F.monotonically_increasing_id()), "vocabulary")
+    size = s.agg(F.sum(F.size("_s")).alias("n"), F.sum(F.octet_length(F.array_join("_s", " "))).alias("bytes")).first()
+    few = (size["n"] or 0) <= broadcast_words and (size["bytes"] or 0) <= BROADCAST_BYTES
+    small = F.broadcast if few else lambda df: df
+    each = sources.select(F.col(source_key).alias("_source"), F.array_distinct(T.words(source)).alias("_all")).select("_source", F.explode("_all").alias("_word")).join(small(vocabulary), "_word")
+    w = stored(each.groupBy("_source").agg(F.collect_set("_id").alias("_w")), "source-words")
+    rarity = stored(w.select(F.explode("_w").alias("_id")).groupBy("_id").agg(F.count("*").alias("_n")), "rarity")
+    ids = s.select("_key", F.explode("_s").alias("_word")).join(small(vocabulary), "_word").join(small(rarity), "_id", "left")
+    ranked = ids.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("_n", F.lit(0).cast("long")).alias("n"), F.col("_id").alias("w")))).alias("_r"))
+    ranked = stored(ranked.select("_key", F.transform("_r", lambda x: x["w"]).alias("_s")), "ranked")
+    n = F.size("_s")
+    prefix = ranked.select("_key", F.explode(F.slice("_s", F.lit(1), (n - F.ceil(n * F.lit(least) - 1e-9) + 1).cast("int"))).alias("_id"))
+    pairs = w.select("_source", F.explode("_w").alias("_id")).join(small(prefix), "_id").groupBy("_source").agg(F.collect_set("_key").alias("_keys"))
+    whole = pairs.join(w, "_source").select("_source", "_w", F.explode("_keys").alias("_key")).join(small(ranked), "_key")
+    return whole.select(F.col("_key").alias(key), F.col("_source").alias(source_key), T.overlap_of(F.col("_s"), F.col("_w")).alias("overlap")).where(F.col("overlap") >= least)
 
 
 #: Least score by dimension, for questions and for ideas (fixed values).

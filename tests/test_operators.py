@@ -19,6 +19,14 @@ def one(spark, column, **values):
     return df.select(column.alias("x")).first()["x"]
 
 
+def moved_bytes(spark):
+    """Bytes that all stages so far have shuffled, spilled and written."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(x.shuffleWriteBytes() + x.diskBytesSpilled() + x.outputBytes() for x in (stages.apply(i) for i in range(stages.size())))
+
+
 @pytest.mark.parametrize(("text", "want"), [("Yes, it is", "yes"), ("I think NO.", "no"), ("  Maybe", "m"), ("yesterday no", "no"), ("", "")])
 def test_yes_no(spark, text, want):
     assert one(spark, T.yes_no(F.col("t")), t=text) == want
@@ -170,6 +178,28 @@ def test_grounded_sources_match_all_pairs(spark):
     assert {(x["s"], x["d"]) for x in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("words", [0, 100_000])
+def test_grounded_sources_move_little(spark, tmp_path, words):
+    import random
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    r = random.Random(4)
+    text = lambda n: " ".join(f"word{r.randrange(400)}" for _ in range(n))
+    s, d = [(i, text(30)) for i in range(60)] + [(98, None), (99, "...")], [(i, text(200)) for i in range(600)]
+    d += [(1000 + i, t.upper()) for i, t in s[:5]] + [(2000, None), (2001, "")]
+    for name, rows in (("s", s), ("d", d)):
+        spark.createDataFrame(rows, "k long, t string").write.parquet(str(tmp_path / name))
+    before = moved_bytes(spark)
+    named = {"broadcast_words": words} if words != 100_000 else {}
+    got = records.grounded_sources(spark.read.parquet(str(tmp_path / "s")), "k", F.col("t"), spark.read.parquet(str(tmp_path / "d")).withColumnRenamed("k", "j"), "j", F.col("t"), **named).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    moved, sets = moved_bytes(spark) - before, [[(k, set((t or "").lower().split()) - {"..."}) for k, t in x] for x in (s, d)]
+    want = {(i, j): len(x & y) / len(x) for i, x in sets[0] for j, y in sets[1] if x and len(x & y) >= 0.6 * len(x) - 1e-9}
+    assert {(x["k"], x["j"]): x["overlap"] for x in got} == want and len(got) == len(want) >= 5
+    assert not words or moved < sum(len(t or "") for _, t in d)
+
+
 def test_a_stage_asks_pending_items_once(spark):
     stage = tasks.Stage("reject", lambda rows: F.col("q"), "dpo_rejection", lambda good: good.select("id", F.col("parsed.rejected").alias("rejected")))
     rows = spark.createDataFrame([(1, "good"), (2, "bad"), (3, "done before"), (4, "later")], "id int, q string")
@@ -328,14 +358,6 @@ def test_copies_get_the_least_key_of_all_they_duplicate(spark):
         assert [r["duplicate_of"] for r in dedupe.mark_duplicates(df, "id", F.col("t"), ["b"]).orderBy("id").collect()] == want
 
 
-def moved_bytes(spark):
-    """Bytes that all stages so far have shuffled, spilled and written."""
-    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
-    return sum(x.shuffleWriteBytes() + x.diskBytesSpilled() + x.outputBytes() for x in (stages.apply(i) for i in range(stages.size())))
-
-
 def test_near_duplicates_of_texts_with_a_common_line_move_little(spark, tmp_path):
     import random
 
